@@ -105,3 +105,105 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_dbl((k * 53) % 400) / _dbl(1000)).alias("fraud_score"),
         ((c * 101) % 15001).cast("int").alias("loyalty_points"),
     )
+
+
+# --- wire messages -------------------------------------------------------------
+# One JSON message per txn row; the row's fault code ``k % 50`` injects one kind
+# of defect so every validator rule and routing branch is exercised.  Codes not
+# listed below (38..49) are untouched valid messages.
+MESSAGE_TOPIC = "transactions"
+MESSAGE_PARTITIONS = 6
+FAULT_MODULUS = 50
+# Per fault code, field -> replacement JSON literal (None = field removed).
+FIELD_FAULTS: dict[int, dict[str, str | None]] = {
+    0: {"transaction_id": None},
+    1: {"transaction_id": '""'},
+    2: {"transaction_id": "5"},
+    3: {"customer_id": None},
+    4: {"customer_id": '""'},
+    5: {"amount": '"12"'},
+    6: {"amount": "null"},
+    7: {"amount": None},
+    8: {"currency": '"US"'},
+    9: {"currency": "840"},
+    10: {"timestamp": '"x"'},
+    11: {"timestamp": "1700000000"},
+    12: {"timestamp": None},
+    13: {"timestamp": '"T10:00"'},
+    14: {"is_fraud": "2"},
+    15: {"is_fraud": '"1"'},
+    16: {"is_fraud": None},
+    17: {"transaction_type": '"loan"'},
+    18: {"transaction_status": '"open"'},
+    19: {"location": '""'},
+    20: {"device_os": "null"},
+    21: {"payment_method": "0"},
+    22: {"merchant_category": None},
+    23: {"amount": '"x"', "currency": '"EURO"', "is_fraud": "3", "location": '""'},
+    32: {"amount": "true"},
+    33: {"is_fraud": "1.0"},
+    34: {"is_fraud": "false"},
+    37: {"is_fraud": "true"},
+}
+# Fault codes that replace the whole message text.
+TEXT_FAULTS = {24: "bad_text", 25: "array", 26: "string", 27: "number", 28: "tombstone", 29: "empty",
+               30: "trailing_text", 31: "two_documents"}
+FAULT_TIMESTAMP_Z = 35
+FAULT_EXTRA_FIELD = 36
+
+STRING_FIELDS = {"transaction_id", "currency", "customer_id", "customer_name", "customer_email",
+                 "customer_segment", "location", "transaction_type", "device_id", "device_os", "device_model",
+                 "ip_address", "merchant_id", "merchant_name", "merchant_category", "user_agent",
+                 "payment_method", "transaction_status", "day_of_week"}
+
+
+def _json_literal(name: str) -> Column:
+    c = F.col(name)
+    if name == "timestamp":
+        return F.concat(F.lit('"'), F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit('"'))
+    if name == "fraud_rules":
+        quoted = F.transform(c, lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+        return F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]"))
+    if name in STRING_FIELDS:
+        return F.concat(F.lit('"'), c, F.lit('"'))
+    return c.cast("string")
+
+
+def txn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped records (topic, partition, offset, timestamp, key, value) from ``txn``."""
+    from txrisk.functions.rules import with_fraud_rules
+    from txrisk.schema import TRANSACTION_COLUMNS
+
+    base = with_fraud_rules(txn(spark, sf_dir)).withColumn(
+        "_k", F.substring("transaction_id", 3, 9).cast("bigint"))
+    f = F.col("_k") % FAULT_MODULUS
+    members = []
+    for name in TRANSACTION_COLUMNS:
+        lit_val = _json_literal(name)
+        if name == "timestamp":
+            lit_val = F.when(f == FAULT_TIMESTAMP_Z,
+                             F.concat(F.substring(lit_val, 1, 20), F.lit('Z"'))).otherwise(lit_val)
+        for code, faults in FIELD_FAULTS.items():
+            if name in faults:
+                rep = faults[name]
+                lit_val = F.when(f == code, F.lit(rep) if rep is not None else F.lit(None)).otherwise(lit_val)
+        members.append(F.when(lit_val.isNotNull(), F.concat(F.lit(f'"{name}":'), lit_val)))
+    members.append(F.when(f == FAULT_EXTRA_FIELD, F.lit('"note":"extra"')))
+    doc = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    text = (F.when(f == 24, F.lit("{bad"))
+             .when(f == 25, F.lit("[1,2]"))
+             .when(f == 26, F.lit('"text"'))
+             .when(f == 27, F.lit("7"))
+             .when(f == 28, F.lit(None).cast("string"))
+             .when(f == 29, F.lit(""))
+             .when(f == 30, F.concat(doc, F.lit(" x")))
+             .when(f == 31, F.concat(doc, doc))
+             .otherwise(doc))
+    return base.select(
+        F.lit(MESSAGE_TOPIC).alias("topic"),
+        (F.col("_k") % MESSAGE_PARTITIONS).cast("int").alias("partition"),
+        F.col("_k").alias("offset"),
+        F.col("timestamp").alias("timestamp"),
+        F.col("transaction_id").alias("key"),
+        text.alias("value"),
+    )

@@ -207,3 +207,191 @@ ORACLE: dict[str, str] = {
         """CASE WHEN device_os IN ('Android', 'iOS') THEN 'Mobile'
            WHEN device_os IN ('Windows', 'macOS', 'Linux') THEN 'Desktop' ELSE 'Other' END AS device_type"""),
 }
+
+
+# --- wire messages and the validator ------------------------------------------
+
+_MSG_STRING_FIELDS = {"transaction_id", "currency", "customer_id", "customer_name", "customer_email",
+                      "customer_segment", "location", "transaction_type", "device_id", "device_os",
+                      "device_model", "ip_address", "merchant_id", "merchant_name", "merchant_category",
+                      "user_agent", "payment_method", "transaction_status", "day_of_week"}
+_MSG_FIELDS = ["transaction_id", "amount", "currency", "timestamp", "customer_id", "customer_name",
+               "customer_email", "customer_age", "customer_segment", "location", "is_fraud", "transaction_type",
+               "device_id", "device_os", "device_model", "ip_address", "merchant_id", "merchant_name",
+               "merchant_category", "user_agent", "payment_method", "transaction_status", "latitude", "longitude",
+               "account_balance", "transaction_hour", "day_of_week", "risk_score", "fraud_score",
+               "loyalty_points", "fraud_rules"]
+# fault code -> {field: JSON literal or None (removed)}
+_MSG_FIELD_FAULTS = {
+    0: {"transaction_id": None}, 1: {"transaction_id": '""'}, 2: {"transaction_id": "5"},
+    3: {"customer_id": None}, 4: {"customer_id": '""'},
+    5: {"amount": '"12"'}, 6: {"amount": "null"}, 7: {"amount": None},
+    8: {"currency": '"US"'}, 9: {"currency": "840"},
+    10: {"timestamp": '"x"'}, 11: {"timestamp": "1700000000"}, 12: {"timestamp": None},
+    13: {"timestamp": '"T10:00"'},
+    14: {"is_fraud": "2"}, 15: {"is_fraud": '"1"'}, 16: {"is_fraud": None},
+    17: {"transaction_type": '"loan"'}, 18: {"transaction_status": '"open"'},
+    19: {"location": '""'}, 20: {"device_os": "null"}, 21: {"payment_method": "0"},
+    22: {"merchant_category": None},
+    23: {"amount": '"x"', "currency": '"EURO"', "is_fraud": "3", "location": '""'},
+    32: {"amount": "true"}, 33: {"is_fraud": "1.0"}, 34: {"is_fraud": "false"}, 37: {"is_fraud": "true"},
+}
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _msg_member(name: str) -> str:
+    if name == "timestamp":
+        base = """'"' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || CASE WHEN f = 35 THEN 'Z' ELSE '' END || '"'"""
+    elif name == "fraud_rules":
+        base = """'[' || concat_ws(',',
+            CASE WHEN amount > 900 THEN '"high_amount"' END,
+            CASE WHEN transaction_type = 'transfer' AND payment_method = 'digital_wallet' THEN '"suspicious_method"' END,
+            CASE WHEN fraud_score > 0.8 THEN '"high_fraud_score"' END,
+            CASE WHEN risk_score > 0.8 THEN '"high_risk_score"' END,
+            CASE WHEN customer_segment = 'vip' AND amount > 500 THEN '"vip_large_transaction"' END,
+            CASE WHEN transaction_hour < 6 OR transaction_hour > 22 THEN '"off_hours"' END) || ']'"""
+    elif name in _MSG_STRING_FIELDS:
+        base = f"""'"' || {name} || '"'"""
+    else:
+        base = f"CAST({name} AS VARCHAR)"
+    whens = [(code, faults[name]) for code, faults in _MSG_FIELD_FAULTS.items() if name in faults]
+    lit = base
+    if whens:
+        parts = " ".join(f"WHEN f = {code} THEN {'NULL' if rep is None else _sql_str(rep)}" for code, rep in whens)
+        lit = f"CASE {parts} ELSE {base} END"
+    return f"""'"{name}":' || ({lit})"""
+
+
+def _messages_cte() -> str:
+    members = ",\n      ".join(_msg_member(n) for n in _MSG_FIELDS)
+    return f"""
+msg_base AS (
+  SELECT *, CAST(substr(transaction_id, 3, 9) AS BIGINT) AS k,
+         CAST(substr(transaction_id, 3, 9) AS BIGINT) % 50 AS f
+  FROM txn
+),
+msg_doc AS (
+  SELECT *, '{{' || concat_ws(',',
+      {members},
+      CASE WHEN f = 36 THEN '"note":"extra"' END) || '}}' AS doc
+  FROM msg_base
+),
+messages AS (
+  SELECT 'transactions' AS topic, CAST(k % 6 AS INTEGER) AS "partition", k AS "offset",
+         "timestamp" AS kafka_timestamp,
+    CASE f WHEN 24 THEN '{{bad' WHEN 25 THEN '[1,2]' WHEN 26 THEN '"text"' WHEN 27 THEN '7'
+           WHEN 28 THEN NULL WHEN 29 THEN '' WHEN 30 THEN doc || ' x' WHEN 31 THEN doc || doc
+           ELSE doc END AS value
+  FROM msg_doc
+),"""
+
+
+_NUM = "('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT')"
+_ISO = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?"
+        r"(Z|[+-]\d{2}(:?\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$")
+
+
+def _t(f: str) -> str:
+    return f"json_type(js, '$.{f}')"
+
+
+def _s(f: str) -> str:
+    return f"json_extract_string(js, '$.{f}')"
+
+
+def _truthy(f: str) -> str:
+    return (f"coalesce(CASE {_t(f)} WHEN 'VARCHAR' THEN length({_s(f)}) > 0 "
+            f"WHEN 'BOOLEAN' THEN {_s(f)} = 'true' "
+            f"WHEN 'UBIGINT' THEN TRY_CAST({_s(f)} AS DOUBLE) <> 0 WHEN 'BIGINT' THEN TRY_CAST({_s(f)} AS DOUBLE) <> 0 "
+            f"WHEN 'DOUBLE' THEN TRY_CAST({_s(f)} AS DOUBLE) <> 0 "
+            f"WHEN 'ARRAY' THEN json_array_length(js, '$.{f}') > 0 WHEN 'OBJECT' THEN {_s(f)} <> '{{}}' "
+            f"ELSE false END, false)")
+
+
+def _validated_cte() -> str:
+    types = "['purchase', 'transfer', 'withdrawal', 'payment', 'refund', 'reversal', 'fee']"
+    statuses = "['completed', 'pending', 'failed', 'reversed', 'flagged', 'authorized']"
+    checks = [
+        (f"NOT ({_t('transaction_id')} = 'VARCHAR' AND length({_s('transaction_id')}) > 0)",
+         "Missing/invalid transaction_id (string)."),
+        (f"NOT ({_t('customer_id')} = 'VARCHAR' AND length({_s('customer_id')}) > 0)",
+         "Missing/invalid customer_id (string)."),
+        (f"NOT ({_t('amount')} IN {_NUM} OR {_t('amount')} = 'BOOLEAN')", "Missing/invalid amount (number)."),
+        (f"NOT ({_t('currency')} = 'VARCHAR' AND length({_s('currency')}) = 3)",
+         "Missing/invalid currency (3-letter string)."),
+        (f"NOT ({_t('timestamp')} = 'VARCHAR' AND regexp_matches({_s('timestamp')}, {_sql_str(_ISO)}) "
+         f"AND TRY_CAST({_s('timestamp')} AS TIMESTAMPTZ) IS NOT NULL)",
+         "Missing/invalid timestamp (ISO 8601 format)."),
+        (f"NOT ({_t('is_fraud')} = 'BOOLEAN' OR ({_t('is_fraud')} IN {_NUM} "
+         f"AND TRY_CAST({_s('is_fraud')} AS DOUBLE) IN (0, 1)))",
+         "Invalid is_fraud value (must be 0 or 1)."),
+        (f"NOT ({_t('transaction_type')} = 'VARCHAR' AND list_contains({types}, {_s('transaction_type')}))",
+         f"Invalid transaction_type (must be one of {types})."),
+        (f"NOT ({_t('transaction_status')} = 'VARCHAR' AND list_contains({statuses}, {_s('transaction_status')}))",
+         f"Invalid transaction_status (must be one of {statuses})."),
+    ] + [(f"NOT {_truthy(f)}", f"Missing field: {f}.")
+         for f in ["location", "payment_method", "merchant_category", "device_os"]]
+    reasons = ",\n        ".join(f"CASE WHEN coalesce({c}, true) THEN {_sql_str(m)} END" for c, m in checks)
+    return f"""
+parsed AS (
+  SELECT *, CASE WHEN value IS NOT NULL AND json_valid(value) THEN value END AS js FROM messages
+),
+reasoned AS (
+  SELECT *,
+    CASE WHEN value IS NULL THEN NULL
+         WHEN js IS NULL THEN 'JSON Decode Error: message is not a single JSON document'
+         WHEN json_type(js) <> 'OBJECT' THEN 'Payload is not a dictionary.'
+         ELSE NULLIF(concat_ws('; ',
+        {reasons}), '') END AS error_reason
+  FROM parsed
+),
+validated AS (
+  SELECT *,
+    CASE WHEN value IS NULL THEN 'tombstone' WHEN js IS NULL THEN 'malformed'
+         WHEN error_reason IS NULL THEN 'valid' ELSE 'invalid' END AS status
+  FROM reasoned
+)"""
+
+
+def with_messages(body: str) -> str:
+    return "WITH " + TXN_CTE.strip() + "," + _messages_cte() + _validated_cte() + "\n" + body.strip()
+
+
+ORACLE.update({
+    "validate_messages": with_messages("""
+SELECT topic, "partition", "offset", status, error_reason FROM validated"""),
+    "pipeline_counters": with_messages("""
+SELECT CAST(count(*) AS BIGINT) AS total,
+       CAST(count(*) FILTER (WHERE status = 'valid') AS BIGINT) AS valid,
+       CAST(count(*) FILTER (WHERE status = 'malformed') AS BIGINT) AS invalid_json,
+       CAST(count(*) FILTER (WHERE status = 'invalid') AS BIGINT) AS invalid_data,
+       CAST(count(*) FILTER (WHERE status = 'tombstone') AS BIGINT) AS tombstones
+FROM validated"""),
+    "validation_failure_counts": with_messages("""
+SELECT CAST(kafka_timestamp AS DATE) AS date, reason, CAST(count(*) AS BIGINT) AS failures
+FROM (SELECT kafka_timestamp, unnest(string_split(error_reason, '; ')) AS reason
+      FROM validated WHERE status IN ('invalid', 'malformed')) s
+GROUP BY 1, 2"""),
+    "dead_letter": with_messages("""
+SELECT topic || '-' || CAST("partition" AS VARCHAR) || '-' || CAST("offset" AS VARCHAR) AS doc_id,
+       topic AS kafka_topic, "partition" AS kafka_partition, "offset" AS kafka_offset,
+       'Invalid transaction data' AS error_message, error_reason
+FROM validated WHERE status IN ('invalid', 'malformed')"""),
+    "landed_transactions": with_messages("""
+SELECT json_extract_string(js, '$.transaction_id') AS transaction_id,
+       json_extract_string(js, '$.customer_id') AS customer_id,
+       CASE json_type(js, '$.amount') WHEN 'BOOLEAN' THEN CAST(json_extract_string(js, '$.amount') = 'true' AS DOUBLE)
+            ELSE CAST(json_extract_string(js, '$.amount') AS DOUBLE) END AS amount,
+       json_extract_string(js, '$.currency') AS currency,
+       CAST(CAST(json_extract_string(js, '$.timestamp') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS "timestamp",
+       CASE json_type(js, '$.is_fraud') WHEN 'BOOLEAN' THEN CAST(json_extract_string(js, '$.is_fraud') = 'true' AS INTEGER)
+            ELSE CAST(CAST(json_extract_string(js, '$.is_fraud') AS DOUBLE) AS INTEGER) END AS is_fraud,
+       json_extract_string(js, '$.transaction_type') AS transaction_type,
+       json_extract_string(js, '$.merchant_id') AS merchant_id,
+       CAST(json_extract_string(js, '$.latitude') AS DOUBLE) AS latitude,
+       array_to_string(CAST(json_extract(js, '$.fraud_rules') AS VARCHAR[]), ',') AS fraud_rules
+FROM validated WHERE status = 'valid'"""),
+})

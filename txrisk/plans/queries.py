@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk import fixtures
+from txrisk.functions import validate as V
 from txrisk.functions.rules import with_fraud_rules
-from txrisk.operators import marts
+from txrisk.operators import ingest, marts
+from txrisk.sources import zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +54,36 @@ def q_fraud_detection_metrics_flat(spark, sf_dir):
     return marts.fraud_detection_metrics_flat(stg(spark, sf_dir))
 
 
+def validated(spark: SparkSession, sf_dir: str, routed: bool = False) -> DataFrame:
+    """Validated messages; ``routed=True`` materialises them once (as a micro-batch sink
+    does) so consumers that filter by status scan a table instead of re-validating."""
+    v = V.validate(fixtures.txn_messages(spark, sf_dir))
+    return zones.materialize(v, "validated") if routed else v
+
+
+def q_validate_messages(spark, sf_dir):
+    return validated(spark, sf_dir).select("topic", "partition", "offset", "status", "error_reason")
+
+
+def q_pipeline_counters(spark, sf_dir):
+    return ingest.pipeline_counters(validated(spark, sf_dir))
+
+
+def q_validation_failure_counts(spark, sf_dir):
+    return ingest.failure_counts(validated(spark, sf_dir, routed=True), time_col="timestamp")
+
+
+def q_dead_letter(spark, sf_dir):
+    return ingest.dead_letters(validated(spark, sf_dir, routed=True)).select(
+        "doc_id", "kafka_topic", "kafka_partition", "kafka_offset", "error_message", "error_reason")
+
+
+def q_landed_transactions(spark, sf_dir):
+    landed = ingest.valid_records(validated(spark, sf_dir, routed=True))
+    return rules_text(landed.select("transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
+                                    "transaction_type", "merchant_id", "latitude", "fraud_rules"))
+
+
 QUERIES: dict[str, Query] = {
     "fraud_detection_metrics": q_fraud_detection_metrics,
     "fraud_detection_metrics_flat": q_fraud_detection_metrics_flat,
@@ -59,4 +91,9 @@ QUERIES: dict[str, Query] = {
     "fact_transactions": q_fact_transactions,
     **{name: _dim(name) for name in marts.DIMENSIONS},
     **{f"{name}_latest": _dim(name, latest=True) for name in marts.LATEST_DIMENSIONS},
+    "validate_messages": q_validate_messages,
+    "pipeline_counters": q_pipeline_counters,
+    "validation_failure_counts": q_validation_failure_counts,
+    "dead_letter": q_dead_letter,
+    "landed_transactions": q_landed_transactions,
 }
