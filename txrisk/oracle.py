@@ -395,3 +395,115 @@ SELECT json_extract_string(js, '$.transaction_id') AS transaction_id,
        array_to_string(CAST(json_extract(js, '$.fraud_rules') AS VARCHAR[]), ',') AS fraud_rules
 FROM validated WHERE status = 'valid'"""),
 })
+
+
+# --- processing, incremental load, quality, insights ----------------------------
+
+_FACT_COLS = """transaction_id, customer_id, merchant_id, device_id, payment_method_key, location_key, time_key,
+  amount, currency, is_fraud, transaction_type, transaction_status, risk_score, fraud_score, account_balance,
+  loyalty_points, fraud_rules, "timestamp\""""
+
+
+def _incremental_sql(lookback: str | None) -> str:
+    bound = "(SELECT m FROM hwm)" + (f" - INTERVAL {lookback}" if lookback else "")
+    return with_txn(f"""
+, t1 AS (SELECT * FROM fact_transactions WHERE transaction_status = 'completed'),
+hwm AS (SELECT coalesce(max("timestamp"), TIMESTAMP '1900-01-01 00:00:00') AS m FROM t1),
+d AS (SELECT * FROM fact_transactions WHERE "timestamp" > {bound})
+SELECT {_FACT_COLS} FROM t1 WHERE transaction_id NOT IN (SELECT transaction_id FROM d)
+UNION ALL
+SELECT {_FACT_COLS} FROM d
+""").replace("\n, t1 AS", ",\nt1 AS")
+
+
+def _schema_tests_sql() -> str:
+    parts = []
+    for table, key in [("fact_transactions", "transaction_id"), ("dim_customer", "customer_id"),
+                       ("dim_merchant", "merchant_id"), ("dim_location", "location_key"),
+                       ("dim_time", "time_key"), ("dim_device", "device_id"),
+                       ("dim_payment_method", "payment_method_key")]:
+        parts.append(f"""SELECT '{table}' AS table_name, 'unique' AS check_name, '{key}' AS column_name,
+  CAST((SELECT count(*) FROM (SELECT {key} FROM {table} WHERE {key} IS NOT NULL
+                              GROUP BY {key} HAVING count(*) > 1) x) AS BIGINT) AS failures""")
+        parts.append(f"""SELECT '{table}', 'not_null', '{key}',
+  CAST((SELECT count(*) FROM {table} WHERE {key} IS NULL) AS BIGINT)""")
+    return with_txn("SELECT *, failures = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) r")
+
+
+_QUALITY_SQL = with_txn("""
+SELECT 'txn' AS table_name, check_name, column_name, failures, failures = 0 AS passed FROM (
+  SELECT 'not_null' AS check_name, 'transaction_id' AS column_name,
+         CAST(count(*) FILTER (WHERE transaction_id IS NULL) AS BIGINT) AS failures FROM txn
+  UNION ALL SELECT 'not_null', 'amount', CAST(count(*) FILTER (WHERE amount IS NULL) AS BIGINT) FROM txn
+  UNION ALL SELECT 'not_null', 'timestamp', CAST(count(*) FILTER (WHERE "timestamp" IS NULL) AS BIGINT) FROM txn
+  UNION ALL SELECT 'unique', 'transaction_id', CAST(count(*) AS BIGINT)
+            FROM (SELECT transaction_id FROM txn WHERE transaction_id IS NOT NULL
+                  GROUP BY 1 HAVING count(*) > 1) x
+  UNION ALL SELECT 'range', 'amount', CAST(count(*) FILTER (WHERE amount < 0) AS BIGINT) FROM txn
+  UNION ALL SELECT 'range', 'customer_age',
+            CAST(count(*) FILTER (WHERE customer_age < 18 OR customer_age > 80) AS BIGINT) FROM txn
+  UNION ALL SELECT 'range', 'latitude', CAST(count(*) FILTER (WHERE latitude < -90 OR latitude > 90) AS BIGINT) FROM txn
+  UNION ALL SELECT 'range', 'longitude',
+            CAST(count(*) FILTER (WHERE longitude < -180 OR longitude > 180) AS BIGINT) FROM txn
+  UNION ALL SELECT 'accepted_values', 'transaction_type', CAST(count(*) FILTER (WHERE transaction_type NOT IN
+            ('purchase', 'transfer', 'withdrawal', 'payment', 'refund', 'reversal', 'fee')) AS BIGINT) FROM txn
+  UNION ALL SELECT 'accepted_values', 'transaction_status', CAST(count(*) FILTER (WHERE transaction_status NOT IN
+            ('completed', 'pending', 'failed', 'reversed', 'flagged', 'authorized')) AS BIGINT) FROM txn
+  UNION ALL SELECT 'accepted_values', 'is_fraud', CAST(count(*) FILTER (WHERE is_fraud NOT IN (0, 1)) AS BIGINT) FROM txn
+  UNION ALL SELECT 'accepted_values', 'currency', CAST(count(*) FILTER (WHERE currency NOT IN ('USD')) AS BIGINT) FROM txn
+  UNION ALL SELECT 'accepted_values', 'device_os', CAST(count(*) FILTER (WHERE device_os NOT IN
+            ('Android', 'iOS', 'Windows', 'macOS', 'Linux')) AS BIGINT) FROM txn
+  UNION ALL SELECT 'type', 'amount', CAST(0 AS BIGINT)
+  UNION ALL SELECT 'type', 'is_fraud', CAST(0 AS BIGINT)
+) r""")
+
+ORACLE.update({
+    "processed_zone": with_txn("""
+SELECT transaction_id, amount, currency, "timestamp", customer_id, customer_name, customer_email, customer_age,
+       customer_segment, location, CAST(is_fraud AS BOOLEAN) AS is_fraud, transaction_type, device_id, device_os,
+       device_model, ip_address, merchant_id, merchant_name, merchant_category, user_agent, payment_method,
+       transaction_status, latitude, longitude, account_balance, transaction_hour, day_of_week, risk_score,
+       fraud_score, loyalty_points, fraud_rules, coalesce(amount > 1000, false) AS is_large_transaction
+FROM stg"""),
+    "quality_flags": with_txn("""
+SELECT transaction_id, coalesce(amount <= 0 AND transaction_type NOT IN ('refund', 'reversal'), false)
+       AS amount_quality_issue
+FROM txn WHERE is_fraud IN (0, 1)"""),
+    "fact_incremental": _incremental_sql(None),
+    "fact_incremental_lookback": _incremental_sql("30 DAYS"),
+    "schema_tests": _schema_tests_sql(),
+    "quality_suite": _QUALITY_SQL,
+    "fraud_volume_daily": with_txn("""
+SELECT CAST("timestamp" AS DATE) AS date, is_fraud, CAST(count(*) AS BIGINT) AS transactions,
+       CAST(sum(CAST(amount AS DECIMAL(18,5))) AS DOUBLE) AS total_amount
+FROM fact_transactions GROUP BY 1, 2"""),
+    "fraud_rate_by_dimension": with_txn("""
+SELECT dimension, value, CAST(count(*) AS BIGINT) AS total_transactions,
+       CAST(count(*) FILTER (WHERE is_fraud = 1) AS BIGINT) AS fraud_transactions,
+       count(*) FILTER (WHERE is_fraud = 1) / count(*) * 100 AS fraud_rate
+FROM (
+  SELECT 'country_code' AS dimension, location AS value, is_fraud FROM stg
+  UNION ALL SELECT 'payment_method', payment_method, is_fraud FROM stg
+  UNION ALL SELECT 'device_type', CASE WHEN device_os IN ('Android', 'iOS') THEN 'Mobile'
+         WHEN device_os IN ('Windows', 'macOS', 'Linux') THEN 'Desktop' ELSE 'Other' END, is_fraud FROM stg
+  UNION ALL SELECT 'time_of_day', CASE WHEN transaction_hour BETWEEN 0 AND 5 THEN 'Night'
+         WHEN transaction_hour BETWEEN 6 AND 11 THEN 'Morning' WHEN transaction_hour BETWEEN 12 AND 17 THEN 'Afternoon'
+         ELSE 'Evening' END, is_fraud FROM stg
+  UNION ALL SELECT 'transaction_type', transaction_type, is_fraud FROM stg
+) u GROUP BY 1, 2"""),
+    "rule_hit_counts": with_txn("""
+SELECT rule, CAST(count(*) AS BIGINT) AS hits, CAST(count(*) FILTER (WHERE is_fraud = 1) AS BIGINT) AS fraud_hits
+FROM (SELECT unnest(string_split(fraud_rules, ',')) AS rule, is_fraud FROM stg WHERE fraud_rules <> '') s
+GROUP BY 1"""),
+    "fraud_rules_exploded": with_txn("""
+SELECT transaction_id, rule FROM (
+  SELECT transaction_id, unnest(string_split(fraud_rules, ',')) AS rule FROM stg WHERE fraud_rules <> ''
+  UNION ALL SELECT transaction_id, NULL FROM stg WHERE fraud_rules = '') s"""),
+    "fraud_by_device_and_age": with_txn("""
+SELECT dd.device_type, dc.age_group, CAST(count(*) AS BIGINT) AS total_transactions,
+       CAST(count(*) FILTER (WHERE ft.is_fraud = 1) AS BIGINT) AS fraud_transactions
+FROM fact_transactions ft
+JOIN dim_device dd ON ft.device_id = dd.device_id
+JOIN dim_customer dc ON ft.customer_id = dc.customer_id
+GROUP BY 1, 2"""),
+})

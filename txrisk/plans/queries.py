@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from txrisk import fixtures
 from txrisk.functions import validate as V
 from txrisk.functions.rules import with_fraud_rules
-from txrisk.operators import ingest, marts
+from txrisk.functions.rules import with_quality_flags
+from txrisk.operators import incremental, ingest, insights, marts, process, quality
 from txrisk.sources import zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +85,69 @@ def q_landed_transactions(spark, sf_dir):
                                     "transaction_type", "merchant_id", "latitude", "fraud_rules"))
 
 
+def q_processed_zone(spark, sf_dir):
+    return rules_text(process.process(with_fraud_rules(fixtures.txn(spark, sf_dir)), stamp=False))
+
+
+def q_quality_flags(spark, sf_dir):
+    return with_quality_flags(fixtures.txn(spark, sf_dir)).select("transaction_id", "amount_quality_issue")
+
+
+def _incremental(lookback):
+    def q(spark, sf_dir):
+        fact = marts.fact_transactions(zones.materialize(stg(spark, sf_dir), "stg"))
+        # First load: the completed orders; the second run offers every staged row.
+        first = zones.materialize(fact.filter(F.col("transaction_status") == "completed"), "fact_v1")
+        return rules_text(incremental.incremental_load(first, fact, lookback=lookback))
+    q.__name__ = "q_fact_incremental" + ("_lookback" if lookback else "")
+    return q
+
+
+def q_schema_tests(spark, sf_dir):
+    star = marts.build_star(zones.materialize(stg(spark, sf_dir), "stg"))
+    return quality.run_schema_tests(spark, star)
+
+
+TXN_SUITE = [
+    quality.not_null("transaction_id"), quality.not_null("amount"), quality.not_null("timestamp"),
+    quality.unique("transaction_id"),
+    quality.in_range("amount", 0, None), quality.in_range("customer_age", 18, 80),
+    quality.in_range("latitude", -90, 90), quality.in_range("longitude", -180, 180),
+    quality.accepted_values("transaction_type", ["purchase", "transfer", "withdrawal", "payment", "refund",
+                                                 "reversal", "fee"]),
+    quality.accepted_values("transaction_status", ["completed", "pending", "failed", "reversed", "flagged",
+                                                   "authorized"]),
+    quality.accepted_values("is_fraud", [0, 1]), quality.accepted_values("currency", ["USD"]),
+    quality.accepted_values("device_os", ["Android", "iOS", "Windows", "macOS", "Linux"]),
+    quality.has_type("amount", "double"), quality.has_type("is_fraud", "int"),
+]
+
+
+def q_quality_suite(spark, sf_dir):
+    return quality.run_suite(fixtures.txn(spark, sf_dir), TXN_SUITE, "txn")
+
+
+def q_fraud_volume_daily(spark, sf_dir):
+    return insights.fraud_volume_daily(marts.fact_transactions(stg(spark, sf_dir)))
+
+
+def q_fraud_rate_by_dimension(spark, sf_dir):
+    return insights.fraud_rate_by_dimension(stg(spark, sf_dir))
+
+
+def q_rule_hit_counts(spark, sf_dir):
+    return insights.rule_hit_counts(stg(spark, sf_dir))
+
+
+def q_fraud_rules_exploded(spark, sf_dir):
+    return insights.explode_rules(stg(spark, sf_dir), outer=True)
+
+
+def q_fraud_by_device_and_age(spark, sf_dir):
+    s = zones.materialize(stg(spark, sf_dir), "stg")
+    return insights.fraud_by_device_and_age(marts.fact_transactions(s), marts.dim_device(s), marts.dim_customer(s))
+
+
 QUERIES: dict[str, Query] = {
     "fraud_detection_metrics": q_fraud_detection_metrics,
     "fraud_detection_metrics_flat": q_fraud_detection_metrics_flat,
@@ -96,4 +160,15 @@ QUERIES: dict[str, Query] = {
     "validation_failure_counts": q_validation_failure_counts,
     "dead_letter": q_dead_letter,
     "landed_transactions": q_landed_transactions,
+    "processed_zone": q_processed_zone,
+    "quality_flags": q_quality_flags,
+    "fact_incremental": _incremental(None),
+    "fact_incremental_lookback": _incremental("30 DAYS"),
+    "schema_tests": q_schema_tests,
+    "quality_suite": q_quality_suite,
+    "fraud_volume_daily": q_fraud_volume_daily,
+    "fraud_rate_by_dimension": q_fraud_rate_by_dimension,
+    "rule_hit_counts": q_rule_hit_counts,
+    "fraud_rules_exploded": q_fraud_rules_exploded,
+    "fraud_by_device_and_age": q_fraud_by_device_and_age,
 }

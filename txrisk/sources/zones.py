@@ -82,3 +82,76 @@ def compact(spark: SparkSession, df: DataFrame, dst: str, target_file_rows: int
     (df.observe(obs, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(check_path(dst)))
     return obs.get["rows"]
+
+
+# --- versioned tables (upsert targets) ----------------------------------------
+# A table is a folder of version sub-folders ``v=<n>``; a version counts once its
+# ``_SUCCESS`` marker exists.  Writing a new version never touches the one being
+# read, and a crash mid-write leaves the previous version current.
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v="):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
+    return sorted(out)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    v = _versions(spark, check_path(path))
+    return f"{check_path(path)}/v={v[-1]}" if v else None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of a versioned table, or None when it has none yet."""
+    cur = current_version(spark, path)
+    return spark.read.parquet(cur) if cur else None
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, keep: int = 2) -> str:
+    """Write ``df`` as the next version; older versions beyond ``keep`` are removed.
+
+    ``df`` may read the current version (the write goes to a new folder).
+    """
+    base = check_path(path)
+    versions = _versions(spark, base)
+    nxt = (versions[-1] + 1) if versions else 1
+    target = f"{base}/v={nxt}"
+    df.write.mode("overwrite").parquet(target)
+    fs, _, jvm = _fs(spark, base)
+    for old in versions[:-max(keep - 1, 0)] if keep > 1 else versions:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/v={old}"), True)
+    return target
+
+
+def materialize_as(spark: SparkSession, df: DataFrame, name: str, mode: str = "view",
+                   path: str | None = None, unique_key: str | None = None) -> DataFrame:
+    """``view`` (temp view), ``table`` (Parquet overwrite) or ``incremental`` (upsert)."""
+    if mode == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
+    if path is None:
+        raise ValueError("table and incremental materialisation need a path")
+    if mode == "table":
+        replace_table(spark, df, path)
+    elif mode == "incremental":
+        from txrisk.operators.incremental import incremental_load
+        if not unique_key:
+            raise ValueError("incremental materialisation needs unique_key")
+        replace_table(spark, incremental_load(read_table(spark, path), df, key=unique_key), path)
+    else:
+        raise ValueError(f"unknown materialisation {mode!r}")
+    out = read_table(spark, path)
+    out.createOrReplaceTempView(name)
+    return out
