@@ -207,3 +207,21 @@ def txn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("transaction_id").alias("key"),
         text.alias("value"),
     )
+
+
+# --- scored table (metric oracles) -----------------------------------------------
+# Four deterministic "models": score = (hash bucket of md5(id || model) + w * label) / (1000 + w),
+# so each has a planted signal of strength w, many tied scores, and prediction = score >= 0.5.
+MODEL_ORDER = ["LogisticRegression", "RandomForest", "XGBoost", "LightGBM"]
+MODEL_SIGNAL = {"LogisticRegression": 200, "RandomForest": 400, "XGBoost": 400, "LightGBM": 300}
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(MODEL_SIGNAL[m]).alias("w"))
+                       for m in MODEL_ORDER])
+    t = txn(spark, sf_dir).select("transaction_id", F.col("is_fraud").alias("label"),
+                                  F.explode(models).alias("m"))
+    h = F.conv(F.substring(F.md5(F.concat("transaction_id", F.col("m.model"))), 1, 8), 16, 10).cast("bigint")
+    score = (h % 1000 + F.col("m.w") * F.col("label")).cast("double") / (F.col("m.w") + 1000).cast("double")
+    return t.select(F.col("m.model").alias("model"), "transaction_id", "label", score.alias("score")) \
+            .withColumn("prediction", (F.col("score") >= 0.5).cast("int"))

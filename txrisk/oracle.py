@@ -507,3 +507,132 @@ JOIN dim_device dd ON ft.device_id = dd.device_id
 JOIN dim_customer dc ON ft.customer_id = dc.customer_id
 GROUP BY 1, 2"""),
 })
+
+
+# --- ML preparation and metrics ---------------------------------------------------
+
+_SCORED_CTE = """,
+models AS (
+  SELECT * FROM (VALUES ('LogisticRegression', 200, 1), ('RandomForest', 400, 2), ('XGBoost', 400, 3),
+                        ('LightGBM', 300, 4)) v(model, w, model_rank)
+),
+scored AS (
+  SELECT m.model, m.model_rank, t.transaction_id, t.is_fraud AS label,
+         CAST(CAST(('0x' || substr(md5(t.transaction_id || m.model), 1, 8)) AS BIGINT) % 1000 + m.w * t.is_fraud
+              AS DOUBLE) / CAST(1000 + m.w AS DOUBLE) AS score
+  FROM txn t, models m
+),
+scored2 AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS prediction FROM scored),
+counts AS (
+  SELECT model, model_rank,
+         count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp
+  FROM scored2 GROUP BY 1, 2
+),
+rep0 AS (
+  SELECT model, model_rank,
+    CASE WHEN tn + fn = 0 THEN 0.0 ELSE CAST(tn AS DOUBLE) / CAST(tn + fn AS DOUBLE) END AS precision_class_0,
+    CASE WHEN tn + fp = 0 THEN 0.0 ELSE CAST(tn AS DOUBLE) / CAST(tn + fp AS DOUBLE) END AS recall_class_0,
+    CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) END AS precision_class_1,
+    CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END AS recall_class_1,
+    CAST(tn + fp AS BIGINT) AS support_class_0, CAST(tp + fn AS BIGINT) AS support_class_1,
+    CASE WHEN tn + fp + fn + tp = 0 THEN 0.0
+         ELSE CAST(tp + tn AS DOUBLE) / CAST(tn + fp + fn + tp AS DOUBLE) END AS accuracy
+  FROM counts
+),
+rep1 AS (
+  SELECT *,
+    CASE WHEN precision_class_0 + recall_class_0 = 0 THEN 0.0
+         ELSE CAST(2 AS DOUBLE) * precision_class_0 * recall_class_0 / (precision_class_0 + recall_class_0)
+         END AS f1_score_class_0,
+    CASE WHEN precision_class_1 + recall_class_1 = 0 THEN 0.0
+         ELSE CAST(2 AS DOUBLE) * precision_class_1 * recall_class_1 / (precision_class_1 + recall_class_1)
+         END AS f1_score_class_1,
+    CAST(support_class_0 + support_class_1 AS DOUBLE) AS n
+  FROM rep0
+),
+report AS (
+  SELECT model, model_rank, precision_class_0, recall_class_0, precision_class_1, recall_class_1,
+    support_class_0, support_class_1, accuracy, f1_score_class_0, f1_score_class_1,
+    (precision_class_0 + precision_class_1) / 2 AS macro_avg_precision,
+    CASE WHEN n = 0 THEN 0.0 ELSE (precision_class_0 * CAST(support_class_0 AS DOUBLE)
+         + precision_class_1 * CAST(support_class_1 AS DOUBLE)) / n END AS weighted_avg_precision,
+    (recall_class_0 + recall_class_1) / 2 AS macro_avg_recall,
+    CASE WHEN n = 0 THEN 0.0 ELSE (recall_class_0 * CAST(support_class_0 AS DOUBLE)
+         + recall_class_1 * CAST(support_class_1 AS DOUBLE)) / n END AS weighted_avg_recall,
+    (f1_score_class_0 + f1_score_class_1) / 2 AS macro_avg_f1_score,
+    CASE WHEN n = 0 THEN 0.0 ELSE (f1_score_class_0 * CAST(support_class_0 AS DOUBLE)
+         + f1_score_class_1 * CAST(support_class_1 AS DOUBLE)) / n END AS weighted_avg_f1_score
+  FROM rep1
+),
+by_score AS (
+  SELECT model, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+  FROM scored2 GROUP BY 1, 2
+),
+auc AS (
+  SELECT model,
+    CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+      CAST(sum(CAST(pos AS DECIMAL(38,0)) * CAST(cn - neg AS DECIMAL(38,0)) * 2
+               + CAST(pos AS DECIMAL(38,0)) * CAST(neg AS DECIMAL(38,0))) AS DOUBLE)
+      / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE) * 2) END AS roc_auc
+  FROM (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score ROWS UNBOUNDED PRECEDING) AS cn
+        FROM by_score) x
+  GROUP BY 1
+),
+ap AS (
+  SELECT model,
+    CASE WHEN sum(pos) > 0 THEN round(sum(CAST(pos AS DOUBLE) * (cp / (cp + cn))) / sum(pos), 10) END AS auc_pr
+  FROM (SELECT *, sum(pos) OVER (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cp,
+                  sum(neg) OVER (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cn
+        FROM by_score) x
+  GROUP BY 1
+),
+model_metrics AS (
+  SELECT r.* EXCLUDE (model_rank), r.model_rank, auc.roc_auc, ap.auc_pr
+  FROM report r JOIN auc USING (model) JOIN ap USING (model)
+)"""
+
+_SPLIT = "CASE WHEN CAST(('0x' || substr(md5(transaction_id || '42'), 1, 8)) AS BIGINT) % 10000 < 2000 " \
+         "THEN 'test' ELSE 'train' END"
+
+
+def with_scored(body: str) -> str:
+    return "WITH " + TXN_CTE.strip() + _SCORED_CTE + "\n" + body.strip()
+
+
+ORACLE.update({
+    "model_metrics": with_scored("SELECT * EXCLUDE (model_rank) FROM model_metrics"),
+    "best_model": with_scored("""
+SELECT model, f1_score_class_1 FROM model_metrics ORDER BY f1_score_class_1 DESC NULLS LAST, model_rank LIMIT 1"""),
+    "confusion_matrix": with_scored("""
+SELECT model, label, prediction, CAST(count(*) AS BIGINT) AS count FROM scored2 GROUP BY 1, 2, 3"""),
+    "label_distribution": with_txn("""
+SELECT is_fraud AS label, CAST(count(*) AS BIGINT) AS count, count(*) / sum(count(*)) OVER () AS share
+FROM txn GROUP BY 1"""),
+    "class_balance": with_txn("""
+SELECT CAST(count(*) FILTER (WHERE is_fraud = 0) AS BIGINT) AS n_class_0,
+       CAST(count(*) FILTER (WHERE is_fraud = 1) AS BIGINT) AS n_class_1,
+       CASE WHEN count(*) FILTER (WHERE is_fraud = 0) > 0 AND count(*) FILTER (WHERE is_fraud = 1) > 0
+            THEN count(*) FILTER (WHERE is_fraud = 0) / count(*) FILTER (WHERE is_fraud = 1) END AS imbalance_ratio,
+       CASE WHEN count(*) FILTER (WHERE is_fraud = 0) > 0
+            THEN count(*) / (count(*) FILTER (WHERE is_fraud = 0) * 2) END AS weight_class_0,
+       CASE WHEN count(*) FILTER (WHERE is_fraud = 1) > 0
+            THEN count(*) / (count(*) FILTER (WHERE is_fraud = 1) * 2) END AS weight_class_1
+FROM txn"""),
+    "train_test_split": with_txn(f"""
+SELECT {_SPLIT} AS split, is_fraud AS label, CAST(count(*) AS BIGINT) AS rows FROM txn GROUP BY 1, 2"""),
+    "undersampled_train": with_txn(f"""
+, train AS (SELECT transaction_id, is_fraud AS label FROM txn WHERE {_SPLIT} = 'train'),
+cnt AS (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1 FROM train),
+maj AS (SELECT CASE WHEN n0 > n1 THEN 0 ELSE 1 END AS m, least(n0, n1) AS k FROM cnt),
+ranked AS (
+  SELECT t.*, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(transaction_id || '42'), 1, 8)) AS BIGINT),
+                                          transaction_id) AS rn
+  FROM train t WHERE label = (SELECT m FROM maj)
+)
+SELECT transaction_id, label FROM train WHERE label <> (SELECT m FROM maj)
+UNION ALL
+SELECT transaction_id, label FROM ranked WHERE rn <= (SELECT k FROM maj)""").replace("\n, train AS", ",\ntrain AS"),
+})

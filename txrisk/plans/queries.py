@@ -16,6 +16,8 @@ from txrisk import fixtures
 from txrisk.functions import validate as V
 from txrisk.functions.rules import with_fraud_rules
 from txrisk.functions.rules import with_quality_flags
+from txrisk.ml import metrics as M
+from txrisk.ml import prep
 from txrisk.operators import incremental, ingest, insights, marts, process, quality
 from txrisk.sources import zones
 
@@ -148,6 +150,41 @@ def q_fraud_by_device_and_age(spark, sf_dir):
     return insights.fraud_by_device_and_age(marts.fact_transactions(s), marts.dim_device(s), marts.dim_customer(s))
 
 
+def q_model_metrics(spark, sf_dir):
+    return M.evaluate(fixtures.scored(spark, sf_dir), ["model"])
+
+
+def q_best_model(spark, sf_dir):
+    metrics = M.evaluate(fixtures.scored(spark, sf_dir), ["model"])
+    return M.best_model(metrics, fixtures.MODEL_ORDER).select("model", "f1_score_class_1")
+
+
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(fixtures.scored(spark, sf_dir), ["model"])
+
+
+def _labelled(spark, sf_dir):
+    return fixtures.txn(spark, sf_dir).select("transaction_id", F.col("is_fraud").alias("label"))
+
+
+def q_label_distribution(spark, sf_dir):
+    return M.label_distribution(_labelled(spark, sf_dir))
+
+
+def q_class_balance(spark, sf_dir):
+    return M.class_balance(_labelled(spark, sf_dir))
+
+
+def q_train_test_split(spark, sf_dir):
+    return (_labelled(spark, sf_dir).withColumn("split", prep.split_column())
+            .groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def q_undersampled_train(spark, sf_dir):
+    train = _labelled(spark, sf_dir).filter(prep.split_column() == "train")
+    return prep.undersample(train)
+
+
 QUERIES: dict[str, Query] = {
     "fraud_detection_metrics": q_fraud_detection_metrics,
     "fraud_detection_metrics_flat": q_fraud_detection_metrics_flat,
@@ -171,4 +208,11 @@ QUERIES: dict[str, Query] = {
     "rule_hit_counts": q_rule_hit_counts,
     "fraud_rules_exploded": q_fraud_rules_exploded,
     "fraud_by_device_and_age": q_fraud_by_device_and_age,
+    "model_metrics": q_model_metrics,
+    "best_model": q_best_model,
+    "confusion_matrix": q_confusion_matrix,
+    "label_distribution": q_label_distribution,
+    "class_balance": q_class_balance,
+    "train_test_split": q_train_test_split,
+    "undersampled_train": q_undersampled_train,
 }
