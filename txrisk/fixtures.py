@@ -34,6 +34,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def plan_once(fn):
+    """Reuse the DataFrame *plan* built by ``fn(spark, sf_dir)`` within a session.
+
+    Building these plans takes hundreds of driver-side calls; the plan is
+    immutable, so queries derived from the same inputs share it.  No data is
+    cached -- every action still reads the files.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf_dir)
+        return _PLANS[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def _pick(values: list[str], idx: Column) -> Column:
     """values[idx] for a 0-based integer index column."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
@@ -43,6 +63,7 @@ def _dbl(c: Column | int) -> Column:
     return (c if isinstance(c, Column) else F.lit(c)).cast("double")
 
 
+@plan_once
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 30 base transaction columns (``fraud_rules`` is added by the rule tagger)."""
     orders = table(spark, sf_dir, "orders").select(
@@ -169,6 +190,7 @@ def _json_literal(name: str) -> Column:
     return c.cast("string")
 
 
+@plan_once
 def txn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped records (topic, partition, offset, timestamp, key, value) from ``txn``."""
     from txrisk.functions.rules import with_fraud_rules
@@ -216,6 +238,7 @@ MODEL_ORDER = ["LogisticRegression", "RandomForest", "XGBoost", "LightGBM"]
 MODEL_SIGNAL = {"LogisticRegression": 200, "RandomForest": 400, "XGBoost": 400, "LightGBM": 300}
 
 
+@plan_once
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(MODEL_SIGNAL[m]).alias("w"))
                        for m in MODEL_ORDER])

@@ -54,34 +54,28 @@ def _as_string(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$.{name}", "string")
 
 
-def field_info(v: Column, name: str) -> list[Column]:
-    """Everything the rules need about one field, extracted once, as separate columns.
-
-    ``_t_<f>``: type name (STRING, BIGINT, DOUBLE, DECIMAL(p,s), BOOLEAN, VOID for
-    null, ARRAY<..>, OBJECT<..>; null when absent), ``_s_/_d_/_b_<f>``: value as
-    string/double/boolean, ``_n_<f>``: element count of an array.  Separate
-    columns (not a struct) keep Catalyst from collapsing the extraction into
-    every rule that reads it.
-    """
-    fv = F.try_variant_get(v, f"$.{name}", "variant")
-    return [
-        F.schema_of_variant(fv).alias(f"_t_{name}"),
-        F.try_variant_get(v, f"$.{name}", "string").alias(f"_s_{name}"),
-        F.try_variant_get(v, f"$.{name}", "double").alias(f"_d_{name}"),
-        F.try_variant_get(v, f"$.{name}", "boolean").alias(f"_b_{name}"),
-        F.array_size(F.try_variant_get(v, f"$.{name}", "array<variant>")).alias(f"_n_{name}"),
-    ]
+RULE_FIELDS = ["transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
+               "transaction_type", "transaction_status", *S.PRESENCE_FIELDS]
 
 
 class _Field:
-    """Accessors over the ``field_info`` columns of one field."""
+    """A field of the payload as its own variant (``_v_<f>``) plus its type name (``_t_<f>``).
+
+    Type names: STRING, BIGINT, DOUBLE, DECIMAL(p,s), BOOLEAN, VOID (JSON null),
+    ARRAY<..>, OBJECT<..>; SQL null when the field is absent.  Values are read
+    from the variant only inside a branch guarded by the type, so each row pays
+    for one value conversion per rule at most.
+    """
 
     def __init__(self, name: str):
+        self.v = F.col(f"_v_{name}")
         self.t = F.col(f"_t_{name}")
-        self.s = F.col(f"_s_{name}")
-        self.d = F.col(f"_d_{name}")
-        self.b = F.col(f"_b_{name}")
-        self.n = F.col(f"_n_{name}")
+
+    def s(self) -> Column:
+        return F.try_variant_get(self.v, "$", "string")
+
+    def d(self) -> Column:
+        return F.try_variant_get(self.v, "$", "double")
 
     def is_string(self) -> Column:
         return F.coalesce(self.t == "STRING", F.lit(False))
@@ -89,59 +83,58 @@ class _Field:
     def is_number(self) -> Column:
         return F.coalesce(self.t.isin(NUMERIC_TYPES) | self.t.startswith("DECIMAL"), F.lit(False))
 
+    def string_where(self, pred) -> Column:
+        """A string field whose value satisfies ``pred`` (False for other types)."""
+        return F.coalesce(F.when(self.t == "STRING", pred(self.s())), F.lit(False))
+
     def nonempty_string(self) -> Column:
-        return self.is_string() & F.coalesce(F.length(self.s) > 0, F.lit(False))
+        return self.string_where(lambda s: F.length(s) > 0)
 
     def truthy(self) -> Column:
         """Python truthiness (absent and null are falsy)."""
         return F.coalesce(
-            F.when(self.t == "STRING", F.length(self.s) > 0)
-             .when(self.t == "BOOLEAN", self.b)
-             .when(self.is_number(), self.d != 0)
-             .when(self.t.startswith("ARRAY"), F.coalesce(self.n, F.lit(0)) > 0)
+            F.when(self.t == "STRING", F.length(self.s()) > 0)
+             .when(self.t == "BOOLEAN", F.try_variant_get(self.v, "$", "boolean"))
+             .when(self.is_number(), self.d() != 0)
+             .when(self.t.startswith("ARRAY"),
+                   F.coalesce(F.array_size(F.try_variant_get(self.v, "$", "array<variant>")), F.lit(0)) > 0)
              .when(self.t.startswith("OBJECT"), self.t != "OBJECT<>"),
             F.lit(False))
 
 
-RULE_FIELDS = ["transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
-               "transaction_type", "transaction_status", *S.PRESENCE_FIELDS]
-
-
 def rule_failures() -> list[tuple[Column, str]]:
-    """(is_bad, message) in report order, over the ``field_info`` columns."""
+    """(is_bad, message) in report order, over the ``_v_/_t_`` field columns."""
     f = {name: _Field(name) for name in RULE_FIELDS}
-    ts = f["timestamp"]
-    ts_ok = ts.is_string() & F.coalesce(ts.s.rlike(ISO_TIMESTAMP) & F.try_to_timestamp(ts.s).isNotNull(),
-                                        F.lit(False))
+    ts_ok = f["timestamp"].string_where(lambda s: s.rlike(ISO_TIMESTAMP) & F.try_to_timestamp(s).isNotNull())
     fr = f["is_fraud"]
     label_ok = F.coalesce(F.when(fr.t == "BOOLEAN", F.lit(True))
-                           .when(fr.is_number(), fr.d.isin(0.0, 1.0)), F.lit(False))
+                           .when(fr.is_number(), fr.d().isin(0.0, 1.0)), F.lit(False))
     amount = f["amount"]
-    cur = f["currency"]
     return [
         (~f["transaction_id"].nonempty_string(), S.MSG_TRANSACTION_ID),
         (~f["customer_id"].nonempty_string(), S.MSG_CUSTOMER_ID),
         (~(amount.is_number() | F.coalesce(amount.t == "BOOLEAN", F.lit(False))), S.MSG_AMOUNT),
-        (~(cur.is_string() & F.coalesce(F.length(cur.s) == 3, F.lit(False))), S.MSG_CURRENCY),
+        (~f["currency"].string_where(lambda s: F.length(s) == 3), S.MSG_CURRENCY),
         (~ts_ok, S.MSG_TIMESTAMP),
         (~label_ok, S.MSG_IS_FRAUD),
-        (~(f["transaction_type"].is_string()
-           & F.coalesce(f["transaction_type"].s.isin(S.VALID_TRANSACTION_TYPES), F.lit(False))),
-         S.MSG_TRANSACTION_TYPE),
-        (~(f["transaction_status"].is_string()
-           & F.coalesce(f["transaction_status"].s.isin(S.VALID_TRANSACTION_STATUSES), F.lit(False))),
+        (~f["transaction_type"].string_where(lambda s: s.isin(S.VALID_TRANSACTION_TYPES)), S.MSG_TRANSACTION_TYPE),
+        (~f["transaction_status"].string_where(lambda s: s.isin(S.VALID_TRANSACTION_STATUSES)),
          S.MSG_TRANSACTION_STATUS),
         *[(~f[name].truthy(), S.MSG_MISSING_FIELD.format(name)) for name in S.PRESENCE_FIELDS],
     ]
 
 
+_FIELDS_STRUCT = "struct<" + ",".join(f"`{n}`:variant" for n in RULE_FIELDS) + ">"
+
+
 def validate(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``payload`` (variant), ``status`` and ``error_reason``.
 
-    Built as successive projections -- parse once, extract each field once,
-    evaluate the rules as a bit set, then derive reason and status -- so no
-    expensive expression is referenced more than once by the next step and
-    Catalyst keeps the steps apart instead of re-parsing per rule.
+    Built as successive projections -- parse once, cast the object once into a
+    struct of the checked fields, take each field's type once, evaluate the
+    rules as a bit set, then derive reason and status -- so no expensive
+    expression is referenced more than once by the next step and Catalyst keeps
+    the steps apart instead of re-parsing per rule.
 
     ``value`` may be string or binary (binary is decoded as UTF-8; invalid
     sequences are replaced, as a lossy decode would).
@@ -164,7 +157,12 @@ def validate(messages: DataFrame, value_col: str = "value") -> DataFrame:
                            F.try_variant_get("_w", "$[0]", "variant")).alias("payload"))
             .select(*keep, "_tomb", "payload",
                     F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False)).alias("_obj"),
-                    *[c for name in RULE_FIELDS for c in field_info(F.col("payload"), name)])
+                    F.try_variant_get("payload", "$", _FIELDS_STRUCT).alias("_fs"))
+            .select(*keep, "_tomb", "payload", "_obj",
+                    *[F.col(f"_fs.`{n}`").alias(f"_v_{n}") for n in RULE_FIELDS])
+            .select(*keep, "_tomb", "payload", "_obj",
+                    *[F.col(f"_v_{n}") for n in RULE_FIELDS],
+                    *[F.schema_of_variant(f"_v_{n}").alias(f"_t_{n}") for n in RULE_FIELDS])
             .select(*keep, "_tomb", "payload", "_obj", bits.alias("_bits"))
             .select(*keep, "payload",
                     F.when(F.col("_tomb"), F.lit(None).cast("string"))

@@ -28,6 +28,7 @@ def rules_text(df: DataFrame, col: str = "fraud_rules") -> DataFrame:
     return df.withColumn(col, F.array_join(col, ","))
 
 
+@fixtures.plan_once
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed transactions with rule tags, as the staging view."""
     return marts.staging(with_fraud_rules(fixtures.txn(spark, sf_dir)))
@@ -57,10 +58,15 @@ def q_fraud_detection_metrics_flat(spark, sf_dir):
     return marts.fraud_detection_metrics_flat(stg(spark, sf_dir))
 
 
+@fixtures.plan_once
+def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.validate(fixtures.txn_messages(spark, sf_dir))
+
+
 def validated(spark: SparkSession, sf_dir: str, routed: bool = False) -> DataFrame:
     """Validated messages; ``routed=True`` materialises them once (as a micro-batch sink
     does) so consumers that filter by status scan a table instead of re-validating."""
-    v = V.validate(fixtures.txn_messages(spark, sf_dir))
+    v = _validated(spark, sf_dir)
     return zones.materialize(v, "validated") if routed else v
 
 
