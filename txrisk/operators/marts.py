@@ -254,3 +254,70 @@ def build_marts(stg: DataFrame, dim_mode: str = "distinct") -> dict[str, DataFra
         star["fact_transactions"], star["dim_merchant"], star["dim_location"], star["dim_time"],
         star["dim_payment_method"])
     return star
+
+
+# Grouping sets of the one-pass mart: (label, grouping columns).
+_ONEPASS_SETS = [
+    ("f", ["merchant_id", "location_key", "time_key", "payment_method_key"]),
+    ("m", ["merchant_id", "merchant_name", "merchant_category"]),
+    ("l", ["location_key", "country_code", "latitude", "longitude"]),
+    ("t", ["time_key", "timestamp", "day_of_week", "transaction_hour"]),
+    ("p", ["payment_method_key", "payment_method"]),
+]
+# A column grouped only in that set identifies it.
+_ONEPASS_MARKER = {"f": None, "m": "merchant_name", "l": "country_code", "t": "timestamp", "p": "payment_method"}
+
+
+def fraud_detection_metrics_onepass(stg: DataFrame) -> DataFrame:
+    """The star-join mart from one scan of staging.
+
+    One GROUPING SETS aggregate yields (a) the fact partials per join-key tuple
+    and (b) the distinct attribute tuples of the merchant, location, time and
+    payment dimensions -- exactly the rows the DISTINCT dimension models hold.
+    That small result is written once and joined; dimension fan-out multiplies
+    partial rows as it would multiply fact rows, so the output equals the star
+    join.  Staging is read once and shuffled once (after map-side partial
+    aggregation) instead of once per dimension.
+    """
+    from txrisk.sources.zones import materialize
+    spark = stg.sparkSession
+    amt = F.col("amount").cast(AMOUNT_DECIMAL)
+    fraud = F.col("is_fraud") == 1
+    base = stg.select("merchant_id", "merchant_name", "merchant_category", "location_key",
+                      F.col("location").alias("country_code"), "latitude", "longitude", "time_key", "timestamp",
+                      "day_of_week", "transaction_hour", "payment_method_key", "payment_method",
+                      fraud.alias("_fraud"), amt.alias("_amt"))
+    cols = []
+    for _, cs in _ONEPASS_SETS:
+        cols += [c for c in cs if c not in cols]
+    sets = ", ".join("(" + ", ".join(cs) + ")" for _, cs in _ONEPASS_SETS)
+    label = "CASE " + " ".join(f"WHEN grouping({m}) = 0 THEN '{k}'" for k, m in _ONEPASS_MARKER.items() if m) \
+            + " ELSE 'f' END"
+    agg = spark.sql(f"""
+        SELECT {label} AS _set, {', '.join(cols)},
+               count(*) AS n, count_if(_fraud) AS n_fraud, count(_amt) AS n_amount,
+               count_if(_fraud AND _amt IS NOT NULL) AS n_fraud_amount,
+               sum(_amt) AS s_amount, sum(CASE WHEN _fraud THEN _amt END) AS s_fraud_amount
+        FROM {{base}}
+        GROUP BY GROUPING SETS ({sets})""", base=base)
+    agg = materialize(agg, "mart_sets")
+
+    def part(k: str, keys: list[str], extra: list) -> DataFrame:
+        df = agg.filter(F.col("_set") == k)
+        for c in keys:
+            df = df.filter(F.col(c).isNotNull())
+        return df.select(*keys, *extra)
+
+    fact = part("f", ["merchant_id", "location_key", "time_key", "payment_method_key"],
+                ["n", "n_fraud", "n_amount", "n_fraud_amount", "s_amount", "s_fraud_amount"])
+    dm = part("m", ["merchant_id"], ["merchant_category", K.merchant_risk().alias("risk_category")])
+    dl = part("l", ["location_key"], ["country_code", K.continent("country_code").alias("continent")])
+    dt = part("t", ["time_key"], [F.to_date("timestamp").alias("date"), "day_of_week",
+                                  K.time_of_day().alias("time_of_day")])
+    dpm = part("p", ["payment_method_key"], ["payment_method", K.payment_risk().alias("payment_risk_level")])
+    return (fact.join(dpm, "payment_method_key")
+                .join(dm, "merchant_id")
+                .join(dl, "location_key")
+                .join(dt, "time_key")
+                .groupBy(*MART_GROUP)
+                .agg(*_final_measures()))

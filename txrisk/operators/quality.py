@@ -4,8 +4,9 @@ Row-level checks (not_null, range, set membership, distribution) are fused
 into **one** aggregate over the table: one scan, partial aggregation per task.
 ``unique`` needs a grouping by the key; each such check is one extra
 partial+final aggregate (duplicates are counted per key map-side first, so a
-hot key does not concentrate raw rows in one task).  Nothing is collected
-except the small report.
+hot key does not concentrate raw rows in one task), which also answers
+``not_null`` for that key (the null group).  Nothing is collected except the
+small report.
 """
 
 from __future__ import annotations
@@ -70,8 +71,11 @@ def run_suite(df: DataFrame, checks: list[Check], table: str = "table") -> DataF
     Schema checks (``type``) are answered from the schema without a job.
     """
     spark = df.sparkSession
-    row_checks = [c for c in checks if c.kind in ("not_null", "range", "accepted_values")]
     key_checks = [c for c in checks if c.kind == "unique"]
+    key_cols = {c.column for c in key_checks}
+    # not_null on a unique-checked key is answered by the same grouping (the null group)
+    fused_nulls = [c for c in checks if c.kind == "not_null" and c.column in key_cols]
+    row_checks = [c for c in checks if c.kind in ("not_null", "range", "accepted_values") and c not in fused_nulls]
     type_checks = [c for c in checks if c.kind == "type"]
     parts: list[DataFrame] = []
     if row_checks:
@@ -80,11 +84,15 @@ def run_suite(df: DataFrame, checks: list[Check], table: str = "table") -> DataF
         parts.append(fused.selectExpr(f"stack({len(row_checks)}, {stack}) AS (check_name, column_name, failures)"))
     for c in key_checks:
         # dbt semantics: number of non-null key values that occur more than once.
-        dups = (df.filter(F.col(c.column).isNotNull())
-                  .groupBy(c.column).agg(F.count(F.lit(1)).alias("n"))
-                  .agg(F.count_if(F.col("n") > 1).cast("bigint").alias("failures")))
-        parts.append(dups.select(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
-                                 "failures"))
+        per_key = df.groupBy(c.column).agg(F.count(F.lit(1)).alias("n"))
+        key = F.col(c.column)
+        res = per_key.agg(F.count_if(key.isNotNull() & (F.col("n") > 1)).cast("bigint").alias("dups"),
+                          F.coalesce(F.sum(F.when(key.isNull(), F.col("n"))), F.lit(0)).cast("bigint")
+                          .alias("nulls"))
+        pairs = [f"'unique', '{c.column}', dups"]
+        if any(x.column == c.column for x in fused_nulls):
+            pairs.append(f"'not_null', '{c.column}', nulls")
+        parts.append(res.selectExpr(f"stack({len(pairs)}, {', '.join(pairs)}) AS (check_name, column_name, failures)"))
     if type_checks:
         dtypes = dict(df.dtypes)
         rows = [(c.kind, c.column, 0 if dtypes.get(c.column) == c.args["type"] else 1) for c in type_checks]

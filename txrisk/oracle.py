@@ -193,6 +193,7 @@ ORACLE: dict[str, str] = {
     "fact_transactions": with_txn("SELECT * FROM fact_transactions"),
     "fraud_detection_metrics": MART_SQL,
     "fraud_detection_metrics_flat": MART_SQL,
+    "fraud_detection_metrics_star": MART_SQL,
     "dim_customer_latest": _latest(
         "customer_id", ["customer_name", "customer_email", "customer_age", "customer_segment", "loyalty_points"],
         """CASE WHEN customer_age < 25 THEN 'Young Adult' WHEN customer_age BETWEEN 25 AND 40 THEN 'Adult'
