@@ -637,3 +637,32 @@ SELECT transaction_id, label FROM train WHERE label <> (SELECT m FROM maj)
 UNION ALL
 SELECT transaction_id, label FROM ranked WHERE rn <= (SELECT k FROM maj)""").replace("\n, train AS", ",\ntrain AS"),
 })
+
+
+# --- JSON landing scan and streaming ingest ----------------------------------------
+
+ORACLE.update({
+    "landing_scan": with_txn("""
+SELECT transaction_id, customer_id, amount, currency, is_fraud, transaction_type, merchant_id, latitude,
+       loyalty_points, fraud_rules
+FROM stg"""),
+    "streamed_landing": ORACLE["landed_transactions"],
+    "stream_window_counts": with_messages("""
+, win AS (
+  SELECT time_bucket(INTERVAL '30 days', kafka_timestamp, TIMESTAMP '1970-01-01 00:00:00') AS window_start, *
+  FROM validated
+)
+SELECT window_start, window_start + INTERVAL '30 days' AS window_end,
+       CAST(count(*) AS BIGINT) AS total,
+       CAST(count(*) FILTER (WHERE status = 'valid') AS BIGINT) AS valid,
+       CAST(count(*) FILTER (WHERE status = 'malformed') AS BIGINT) AS invalid_json,
+       CAST(count(*) FILTER (WHERE status = 'invalid') AS BIGINT) AS invalid_data,
+       CAST(count(*) FILTER (WHERE status = 'tombstone') AS BIGINT) AS tombstones,
+       CAST(count(*) FILTER (WHERE status = 'valid' AND TRY_CAST(json_extract_string(js, '$.is_fraud') AS DOUBLE) = 1
+                              OR status = 'valid' AND json_extract_string(js, '$.is_fraud') = 'true') AS BIGINT)
+         AS fraud
+FROM win
+GROUP BY 1
+HAVING window_start + INTERVAL '30 days' <= (SELECT max(kafka_timestamp) FROM validated) - INTERVAL '1 day'
+""").replace("\n, win AS", ",\nwin AS"),
+})

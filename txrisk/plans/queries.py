@@ -196,6 +196,46 @@ def q_undersampled_train(spark, sf_dir):
     return prep.undersample(train)
 
 
+def q_landing_scan(spark, sf_dir):
+    """Rows landed as JSON files in the shared folder, scanned back with dialect detection."""
+    from txrisk.session import scratch_path
+    from txrisk.sources import json_files
+    path = scratch_path(spark, "landing")
+    json_files.write_landing(with_fraud_rules(fixtures.txn(spark, sf_dir)), f"{path}/transactions")
+    recs, _ = json_files.scan_json(spark, path)
+    return rules_text(recs.select("transaction_id", "customer_id", "amount", "currency", "is_fraud",
+                                  "transaction_type", "merchant_id", "latitude", "loyalty_points", "fraud_rules"))
+
+
+def q_streamed_landing(spark, sf_dir):
+    """Messages dumped to files, ingested by the streaming query (availableNow), landing table read back."""
+    from txrisk.session import scratch_path
+    from txrisk.streaming import ingest as stream
+    base = scratch_path(spark, "stream")
+    stream.write_message_files(fixtures.txn_messages(spark, sf_dir), f"{base}/topic", files=4)
+    q = stream.start_ingest(stream.read_messages(spark, "files", path=f"{base}/topic"),
+                            f"{base}/landing", f"{base}/dead", f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    landed = zones.read_table(spark, f"{base}/landing")
+    return rules_text(landed.select("transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
+                                    "transaction_type", "merchant_id", "latitude", "fraud_rules"))
+
+
+def q_stream_window_counts(spark, sf_dir):
+    """Windowed message counters from the streaming query (30-day windows, 1-day watermark, append mode)."""
+    from txrisk.session import scratch_path
+    from txrisk.streaming import ingest as stream
+    base = scratch_path(spark, "stream_windows")
+    stream.write_message_files(fixtures.txn_messages(spark, sf_dir), f"{base}/topic", files=4)
+    counts = stream.windowed_counts(stream.read_messages(spark, "files", path=f"{base}/topic"),
+                                    window="30 days", watermark="1 day")
+    q = (counts.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 QUERIES: dict[str, Query] = {
     "fraud_detection_metrics": q_fraud_detection_metrics,
     "fraud_detection_metrics_flat": q_fraud_detection_metrics_flat,
@@ -227,4 +267,7 @@ QUERIES: dict[str, Query] = {
     "class_balance": q_class_balance,
     "train_test_split": q_train_test_split,
     "undersampled_train": q_undersampled_train,
+    "landing_scan": q_landing_scan,
+    "streamed_landing": q_streamed_landing,
+    "stream_window_counts": q_stream_window_counts,
 }

@@ -73,3 +73,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+TRUTHY = {"true", "1", "y", "yes"}
+
+
+def flag(value, default: bool = False) -> bool:
+    """Job option as boolean; the strings true/1/y/yes (any case) are true."""
+    if value is None:
+        return default
+    if isinstance(value, bool):
+        return value
+    return str(value).strip().lower() in TRUTHY
+
+
+def option(value, default, cast=str):
+    """Job option with type coercion; the default when missing or not convertible."""
+    if value is None or value == "":
+        return default
+    try:
+        return cast(value)
+    except (TypeError, ValueError):
+        return default
