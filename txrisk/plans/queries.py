@@ -216,7 +216,7 @@ def q_streamed_landing(spark, sf_dir):
     q = stream.start_ingest(stream.read_messages(spark, "files", path=f"{base}/topic"),
                             f"{base}/landing", f"{base}/dead", f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
-    landed = zones.read_table(spark, f"{base}/landing")
+    landed = stream.read_landing(spark, f"{base}/landing")
     return rules_text(landed.select("transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
                                     "transaction_type", "merchant_id", "latitude", "fraud_rules"))
 

@@ -95,6 +95,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
