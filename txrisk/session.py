@@ -63,7 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
-        d = tempfile.mkdtemp(prefix="txrisk-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="txrisk-ckpt-")          # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
