@@ -62,12 +62,14 @@ CASES = [
     ("category missing", msg(merchant_category=...), "Missing field: merchant_category."),
     ("several", msg(amount="x", currency="EURO", is_fraud=3, location=""),
      "; ".join([S.MSG_AMOUNT, S.MSG_CURRENCY, S.MSG_IS_FRAUD, "Missing field: location."])),
+    ("duplicate key, last wins", msg()[:-1] + ', "amount": "12"}', S.MSG_AMOUNT),
+    ("duplicate key fixed", msg(amount="12")[:-1] + ', "amount": 12.5}', None),
     ("array", "[1,2]", S.MSG_NOT_OBJECT),
     ("string", '"text"', S.MSG_NOT_OBJECT),
     ("number", "7", S.MSG_NOT_OBJECT),
 ]
 
-MALFORMED = ["{bad", "", '{"a":1} x', '{"a":1}{"a":2}', '{"a":1},{"a":2}', "   "]
+MALFORMED = ["{bad", "", '{"a":1} x', '{"a":1}{"a":2}', '{"a":1},{"a":2}', "   ", '{"amount": NaN}']
 
 
 @pytest.fixture(scope="module")

@@ -18,6 +18,8 @@ from pyspark.sql import SparkSession
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # JSON objects with a repeated key keep the last value, as Python's json.loads does.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 DEFAULT_CONF = {
