@@ -472,6 +472,7 @@ SELECT transaction_id, coalesce(amount <= 0 AND transaction_type NOT IN ('refund
 FROM txn WHERE is_fraud IN (0, 1)"""),
     "fact_incremental": _incremental_sql(None),
     "fact_incremental_lookback": _incremental_sql("30 DAYS"),
+    "fact_incremental_partitioned": _incremental_sql(None),
     "schema_tests": _schema_tests_sql(),
     "quality_suite": _QUALITY_SQL,
     "fraud_volume_daily": with_txn("""

@@ -116,6 +116,18 @@ def _incremental(lookback):
     return q
 
 
+def q_fact_incremental_partitioned(spark, sf_dir):
+    """Same two loads into a date-partitioned fact: the second run rewrites only the days it touches."""
+    from txrisk.session import scratch_path
+    fact = marts.fact_transactions(zones.materialize(stg(spark, sf_dir), "stg"))
+    path = scratch_path(spark, "fact_partitioned")
+    # monthly partitions: the test tables hold a few hundred to a few thousand rows per month
+    incremental.incremental_load_partitioned(spark, fact.filter(F.col("transaction_status") == "completed"), path,
+                                             partition_col="month", granularity="month")
+    incremental.incremental_load_partitioned(spark, fact, path, partition_col="month", granularity="month")
+    return rules_text(spark.read.parquet(path).drop("month"))
+
+
 def q_schema_tests(spark, sf_dir):
     star = marts.build_star(zones.materialize(stg(spark, sf_dir), "stg"))
     return quality.run_schema_tests(spark, star)
@@ -253,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "quality_flags": q_quality_flags,
     "fact_incremental": _incremental(None),
     "fact_incremental_lookback": _incremental("30 DAYS"),
+    "fact_incremental_partitioned": q_fact_incremental_partitioned,
     "schema_tests": q_schema_tests,
     "quality_suite": q_quality_suite,
     "fraud_volume_daily": q_fraud_volume_daily,
