@@ -387,7 +387,7 @@ SELECT json_extract_string(js, '$.transaction_id') AS transaction_id,
        CASE json_type(js, '$.amount') WHEN 'BOOLEAN' THEN CAST(json_extract_string(js, '$.amount') = 'true' AS DOUBLE)
             ELSE CAST(json_extract_string(js, '$.amount') AS DOUBLE) END AS amount,
        json_extract_string(js, '$.currency') AS currency,
-       CAST(CAST(json_extract_string(js, '$.timestamp') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS "timestamp",
+       CAST(regexp_replace(json_extract_string(js, '$.timestamp'), 'Z$', '') AS TIMESTAMP) AS "timestamp",
        CASE json_type(js, '$.is_fraud') WHEN 'BOOLEAN' THEN CAST(json_extract_string(js, '$.is_fraud') = 'true' AS INTEGER)
             ELSE CAST(CAST(json_extract_string(js, '$.is_fraud') AS DOUBLE) AS INTEGER) END AS is_fraud,
        json_extract_string(js, '$.transaction_type') AS transaction_type,

@@ -28,6 +28,11 @@ def rules_text(df: DataFrame, col: str = "fraud_rules") -> DataFrame:
     return df.withColumn(col, F.array_join(col, ","))
 
 
+def utc_wall_clock(df: DataFrame, col: str = "timestamp") -> DataFrame:
+    """An instant as its UTC wall-clock time (timestamp_ntz): independent of any client's time zone."""
+    return df.withColumn(col, F.to_timestamp_ntz(F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
 @fixtures.plan_once
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed transactions with rule tags, as the staging view."""
@@ -93,13 +98,13 @@ def q_dead_letter(spark, sf_dir):
 
 
 def q_landed_transactions(spark, sf_dir):
-    landed = ingest.valid_records(validated(spark, sf_dir, routed=True))
+    landed = utc_wall_clock(ingest.valid_records(validated(spark, sf_dir, routed=True)))
     return rules_text(landed.select("transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
                                     "transaction_type", "merchant_id", "latitude", "fraud_rules"))
 
 
 def q_processed_zone(spark, sf_dir):
-    return rules_text(process.process(with_fraud_rules(fixtures.txn(spark, sf_dir)), stamp=False))
+    return utc_wall_clock(rules_text(process.process(with_fraud_rules(fixtures.txn(spark, sf_dir)), stamp=False)))
 
 
 def q_quality_flags(spark, sf_dir):
@@ -228,7 +233,7 @@ def q_streamed_landing(spark, sf_dir):
     q = stream.start_ingest(stream.read_messages(spark, "files", path=f"{base}/topic"),
                             f"{base}/landing", f"{base}/dead", f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
-    landed = stream.read_landing(spark, f"{base}/landing")
+    landed = utc_wall_clock(stream.read_landing(spark, f"{base}/landing"))
     return rules_text(landed.select("transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
                                     "transaction_type", "merchant_id", "latitude", "fraud_rules"))
 
@@ -245,7 +250,7 @@ def q_stream_window_counts(spark, sf_dir):
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return utc_wall_clock(utc_wall_clock(spark.read.parquet(f"{base}/out"), "window_start"), "window_end")
 
 
 QUERIES: dict[str, Query] = {
