@@ -194,6 +194,18 @@ ORACLE: dict[str, str] = {
     "fraud_detection_metrics": MART_SQL,
     "fraud_detection_metrics_flat": MART_SQL,
     "fraud_detection_metrics_star": MART_SQL,
+    "fraud_detection_metrics_latest": MART_SQL.replace(
+        "JOIN dim_merchant dm ON", "JOIN dim_merchant_latest dm ON").replace(
+        "fact_transactions AS (", """dim_merchant_latest AS (
+  SELECT merchant_id, merchant_name, merchant_category,
+    CASE WHEN merchant_category IN ('electronics', 'gaming', 'financial') THEN 'High Risk'
+         WHEN merchant_category IN ('travel', 'entertainment') THEN 'Medium Risk'
+         ELSE 'Low Risk' END AS risk_category
+  FROM (SELECT *, row_number() OVER (PARTITION BY merchant_id ORDER BY "timestamp" DESC, transaction_id DESC) AS rn
+        FROM stg WHERE merchant_id IS NOT NULL) s
+  WHERE rn = 1
+),
+fact_transactions AS (""", 1),
     "dim_customer_latest": _latest(
         "customer_id", ["customer_name", "customer_email", "customer_age", "customer_segment", "loyalty_points"],
         """CASE WHEN customer_age < 25 THEN 'Young Adult' WHEN customer_age BETWEEN 25 AND 40 THEN 'Adult'

@@ -64,6 +64,11 @@ def q_fraud_detection_metrics_star(spark, sf_dir):
     return marts.build_marts(zones.materialize(stg(spark, sf_dir), "stg"))["fraud_detection_metrics"]
 
 
+def q_fraud_detection_metrics_latest(spark, sf_dir):
+    """The mart over latest-per-key dimensions (one merchant row per id: no join fan-out)."""
+    return marts.build_marts(zones.materialize(stg(spark, sf_dir), "stg"), dim_mode="latest")["fraud_detection_metrics"]
+
+
 def q_fraud_detection_metrics_flat(spark, sf_dir):
     return marts.fraud_detection_metrics_flat(stg(spark, sf_dir))
 
@@ -257,6 +262,7 @@ QUERIES: dict[str, Query] = {
     "fraud_detection_metrics": q_fraud_detection_metrics,
     "fraud_detection_metrics_flat": q_fraud_detection_metrics_flat,
     "fraud_detection_metrics_star": q_fraud_detection_metrics_star,
+    "fraud_detection_metrics_latest": q_fraud_detection_metrics_latest,
     "stg_transactions": q_stg_transactions,
     "fact_transactions": q_fact_transactions,
     **{name: _dim(name) for name in marts.DIMENSIONS},
