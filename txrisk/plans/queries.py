@@ -218,6 +218,18 @@ def q_undersampled_train(spark, sf_dir):
     return prep.undersample(train)
 
 
+STREAM_TIMEOUT_S = 3600
+
+
+def _finish(q) -> None:
+    """Wait for an availableNow query; stop it and fail if it does not drain in time."""
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"streaming query {q.id} did not finish in {STREAM_TIMEOUT_S} s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def q_landing_scan(spark, sf_dir):
     """Rows landed as JSON files in the shared folder, scanned back with dialect detection."""
     from txrisk.session import scratch_path
@@ -237,7 +249,7 @@ def q_streamed_landing(spark, sf_dir):
     stream.write_message_files(fixtures.txn_messages(spark, sf_dir), f"{base}/topic", files=4)
     q = stream.start_ingest(stream.read_messages(spark, "files", path=f"{base}/topic"),
                             f"{base}/landing", f"{base}/dead", f"{base}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
+    _finish(q)
     landed = utc_wall_clock(stream.read_landing(spark, f"{base}/landing"))
     return rules_text(landed.select("transaction_id", "customer_id", "amount", "currency", "timestamp", "is_fraud",
                                     "transaction_type", "merchant_id", "latitude", "fraud_rules"))
@@ -254,7 +266,7 @@ def q_stream_window_counts(spark, sf_dir):
     q = (counts.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _finish(q)
     return utc_wall_clock(utc_wall_clock(spark.read.parquet(f"{base}/out"), "window_start"), "window_end")
 
 
