@@ -53,7 +53,7 @@ def age_group(age: Column | str = "customer_age") -> Column:
     a = _c(age)
     pairs = []
     for label, lo, hi in S.AGE_GROUPS:
-        pairs.append((label, a <= hi if lo is None else a.between(lo, hi)))
+        pairs.append((label, a < hi if lo is None else a.between(lo, hi)))
     return _case(pairs, S.AGE_GROUP_DEFAULT)
 
 

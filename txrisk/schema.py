@@ -59,7 +59,7 @@ ML_DROP_COLUMNS = ["transaction_id", "customer_id", "customer_name", "customer_e
                    "transaction_status", "fraud_rules", "fraud_score", "risk_score"]
 
 # Dimension classifications.
-AGE_GROUPS = [("Young Adult", None, 24), ("Adult", 25, 40), ("Middle Age", 41, 60)]  # else Senior
+AGE_GROUPS = [("Young Adult", None, 25), ("Adult", 25, 40), ("Middle Age", 41, 60)]  # (None, x): age < x; else Senior
 AGE_GROUP_DEFAULT = "Senior"
 DEVICE_MOBILE_OS = ["Android", "iOS"]
 DEVICE_DESKTOP_OS = ["Windows", "macOS", "Linux"]
