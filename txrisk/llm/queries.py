@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import packing, token_files
+from txrisk.llm import packing, quality, token_files
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -25,9 +25,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenised_pieces(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity bands: the verdict on every document."""
+    return quality.judge(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op10_ngram_perplexity": op10_ngram_perplexity,
 }
 
 ORACLE: dict[str, str] = {}
