@@ -110,10 +110,11 @@ class WordScan:
     ``first`` has rows + 1 entries: the words of row r are ``first[r]:first[r + 1]``.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        self.data, self.offsets = data, offsets
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, gaps: np.ndarray = SPACE):
+        """``gaps``: the bytes that separate words; ``lower``: hash A-Z as a-z."""
+        self.data, self.offsets, self.gaps = data, offsets, gaps
         n = len(data)
-        space = SPACE[data]
+        space = gaps[data]
         begins = ~space
         ends = ~space
         if n:
@@ -139,7 +140,7 @@ class WordScan:
         part = self.data[lo:hi]
         sizes = self.ends[a:b] - self.starts[a:b]
         heads = np.cumsum(sizes) - sizes
-        chars = part[~SPACE[part]]
+        chars = part[~self.gaps[part]]
         if lower:
             chars = LOWER[chars]
         place = np.arange(len(chars), dtype=np.int64) - np.repeat(heads, sizes)

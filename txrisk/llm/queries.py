@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import packing, quality, secrets, token_files
+from txrisk.llm import decontaminate, packing, quality, secrets, token_files
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -25,6 +25,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenised_pieces(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+def op6_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that give away benchmark items, with each item's coverage by greedy string tiling."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_char_cnn_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: pattern matches and what the network adds."""
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +45,7 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_string_tiling": op6_string_tiling,
     "op7_char_cnn_secrets": op7_char_cnn_secrets,
     "op10_ngram_perplexity": op10_ngram_perplexity,
 }
