@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import decontaminate, packing, quality, secrets, token_files
+from txrisk.llm import decontaminate, licences, packing, quality, secrets, token_files, url_filter
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -20,6 +20,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_token_counts(table(spark, sf_dir, "documents"), VOCABULARY, END_OF_TEXT)
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families named in every document: doc_id, n_paragraphs, n_licensed, families."""
+    docs = table(spark, sf_dir, "documents")
+    found = licences.scan(docs, licences.train(docs))
+    return found.select("doc_id", "n_paragraphs", F.size("licences").cast("long").alias("n_licensed"),
+                        F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",").alias("families"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-two-fit packing into 4096-token sequences: one row per piece."""
     return packing.pack(packing.tokenised_pieces(table(spark, sf_dir, "documents"), VOCABULARY))
@@ -36,6 +44,13 @@ def op7_char_cnn_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.train(docs)))
 
 
+def op8_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the longest rule's, else the regression's."""
+    pages = table(spark, sf_dir, "pages")
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(pages, url_filter.RULES, model)
+
+
 def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and perplexity bands: the verdict on every document."""
     return quality.judge(table(spark, sf_dir, "documents"), ["doc_id"]).select(
@@ -44,9 +59,11 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_licence_scan": op2_licence_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_string_tiling": op6_string_tiling,
     "op7_char_cnn_secrets": op7_char_cnn_secrets,
+    "op8_url_regression": op8_url_regression,
     "op10_ngram_perplexity": op10_ngram_perplexity,
 }
 
