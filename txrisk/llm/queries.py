@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import decontaminate, licences, packing, quality, secrets, token_files, url_filter
+from txrisk.llm import decontaminate, licences, ngram_join, packing, quality, secrets, token_files, url_filter
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -28,6 +28,11 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",").alias("families"))
 
 
+def op4_multi_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 4-word shingles at Jaccard 0.85."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-two-fit packing into 4096-token sequences: one row per piece."""
     return packing.pack(packing.tokenised_pieces(table(spark, sf_dir, "documents"), VOCABULARY))
@@ -60,6 +65,7 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_licence_scan": op2_licence_scan,
+    "op4_multi_order_join": op4_multi_order_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_string_tiling": op6_string_tiling,
     "op7_char_cnn_secrets": op7_char_cnn_secrets,
