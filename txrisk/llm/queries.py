@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import decontaminate, licences, ngram_join, packing, quality, secrets, token_files, url_filter
+from txrisk.llm import archives, decontaminate, licences, ngram_join, packing, quality, secrets, token_files, url_filter
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -56,6 +56,12 @@ def op8_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.RULES, model)
 
 
+def op9_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC records of all pages, written into ZIP packages and read back by range."""
+    packages = archives.write_packages(archives.typed(table(spark, sf_dir, "pages")))
+    return archives.read_packages(packages).drop("payload")
+
+
 def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and perplexity bands: the verdict on every document."""
     return quality.judge(table(spark, sf_dir, "documents"), ["doc_id"]).select(
@@ -70,7 +76,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_string_tiling": op6_string_tiling,
     "op7_char_cnn_secrets": op7_char_cnn_secrets,
     "op8_url_regression": op8_url_regression,
+    "op9_zip_archives": op9_zip_archives,
     "op10_ngram_perplexity": op10_ngram_perplexity,
 }
 
-ORACLE: dict[str, str] = {}
+_SHA1_BASE32 = """
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::BIGINT, 1) for i in range(32)], '')
+"""
+
+ORACLE: dict[str, str] = {
+    "op9_zip_archives": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages)
+        SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_SHA1_BASE32} AS payload_digest,
+               CASE WHEN page_id = min(page_id) OVER (PARTITION BY h) THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> min(page_id) OVER (PARTITION BY h) THEN min(page_id) OVER (PARTITION BY h) END AS refers_to
+        FROM p""",
+}
