@@ -1,24 +1,60 @@
-"""Corpus pipeline over ``documents``: five stages, each written as Parquet and read again by the next."""
+"""Corpus pipeline over ``documents``: five stages, each written as Parquet and read again by the next.
+
+Every stage works on all rows that the one before kept and returns the columns of its input, the last excepted.
+Rows without an id are kept by every stage that goes by ids, unless they are linked to a row that has one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import packing
+from txrisk.llm import decontaminate, line_templates, ngram_join, packing, quality
 from txrisk.llm.common import scratch, table
 from txrisk.llm.queries import VOCABULARY
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie inside their language's perplexity bands."""
+    return quality.judge(docs, docs.columns).filter("kept").select("row.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of recurring templates, each of which stays in one document; texts left blank go."""
+    found = line_templates.dedup(docs).filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") == 0, F.col("row.n_chars")).otherwise(F.length("text"))}
+    return found.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"row.`{c}`").alias(c)
+                          for c in docs.columns))
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id; of repeated rows one stays."""
+    groups = ngram_join.join(docs)
+    keep = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id")
+            .agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("kept_id"), "n"))
+    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")))
+    single, repeated = kept.filter("n = 1 OR kept_id IS NULL"), kept.filter("n > 1 AND kept_id IS NOT NULL")
+    return single.select(*docs.columns).unionByName(repeated.dropDuplicates(["kept_id", "text"]).select(*docs.columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that give away no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenise what is left and pack it into 4096-token sequences: one row per piece."""
     return packing.pack(packing.tokenised_pieces(docs, VOCABULARY))
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Word-piece ids, template clustering and language-model scores are beyond SQL; the tests use brute force.
+#: Word-piece ids and language-model scores are beyond SQL; the tests use brute force.
 ORACLE_SQL = None
 
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Rows per Arrow batch sent to Python: bounds a worker's memory for long texts.
 ARROW_ROWS = 1000
@@ -160,3 +160,27 @@ class WordScan:
             h = mix(h) * np.uint64(0x9E3779B97F4A7C15) + self.hash[k: n + k]
         at = np.flatnonzero(self.row[:n] == self.row[width - 1:])
         return at, mix(h[at])
+
+
+#: Most bits of a filter (8 MiB).
+FILTER_BITS = 26
+
+
+def bit_filter(rows: DataFrame, value: str, count: int) -> np.ndarray:
+    """Bits of the low part of a random long ``value``: at least 8 for each of ``count`` rows, as far as FILTER_BITS go.
+
+    A row that is not in ``rows`` may pass, so a join must follow; with more rows than bits the filter only saves less.
+    """
+    size = 1 << min(FILTER_BITS, max(16, (8 * count).bit_length()))
+    found = (rows.selectExpr(f"({value}) & {size - 1} AS place")
+             .selectExpr("shiftright(place, 3) AS byte", "shiftleft(1, cast(place & 7 AS int)) AS bit")
+             .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(size // 8, np.uint8)
+    out[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the longs may be in the filter."""
+    place = values & (8 * len(bits) - 1)
+    return ((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txrisk.llm.common import WordScan, batches_of, mix, utf8, written
+from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, utf8, written
 from txrisk.llm.components import components
 
 WIDTH, PERCENT = 4, 85
@@ -37,8 +37,8 @@ WIDTH, PERCENT = 4, 85
 #: Rows of sets in one Arrow batch.
 SET_ROWS = 128
 
-#: Places of the count sketch, documents of a list in one block, most bits of the filter of documents that meet others.
-SKETCH_BITS, BLOCK, FILTER_BITS = 22, 256, 26
+#: Places of the count sketch, documents of a list in one block.
+SKETCH_BITS, BLOCK = 22, 256
 SLICES = 64
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -142,13 +142,11 @@ def _sets(docs: DataFrame, heavy, wanted) -> DataFrame:
     """(node, shingles, orders): the sets of representatives in the filter, with each shingle's prefixes as bits."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
         for batch in batches:
             ids = batch.column(1).fill_null(0).to_numpy()
             sets = Shingles(batch.column(0))
             nodes = sets.set_keys()
-            place = (nodes ^ ids) & (8 * len(bits) - 1)
-            rows = np.flatnonzero((sets.n > 0) & ((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool))
+            rows = np.flatnonzero((sets.n > 0) & in_filter(wanted.value, nodes ^ ids))
             flags = np.zeros(len(sets.key), np.uint8)
             for order in range(3):
                 flags |= sets.prefix(order, heavy.value).astype(np.uint8) << order
@@ -160,16 +158,6 @@ def _sets(docs: DataFrame, heavy, wanted) -> DataFrame:
     return docs.mapInArrow(task, "node long, shingles binary, orders binary").dropDuplicates(["node"])
 
 
-def _filter(nodes: DataFrame, count: int) -> np.ndarray:
-    """Bits of (node, rep) pairs, 8 to 16 for each as far as the largest size goes; more pairs only let more rows through."""
-    size = 1 << min(FILTER_BITS, max(16, (8 * count).bit_length()))
-    rows = (nodes.selectExpr(f"(node ^ rep) & {size - 1} AS place").selectExpr("shiftright(place, 3) AS byte", "shiftleft(1, cast(place & 7 AS int)) AS bit")
-            .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())
-    out = np.zeros(size // 8, np.uint8)
-    out[rows.column("byte").to_numpy()] = rows.column("bits").to_numpy()
-    return out
-
-
 def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray | None) -> list[tuple[int, int]]:
     """A spanning forest of the links between sets; ``cross`` says which side each is on, to compare only across."""
     d = len(keys)
@@ -300,7 +288,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     members = written(meet.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("pivot"))), "members")
 
     met = members.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
-    wanted = spark.sparkContext.broadcast(_filter(met, members.count()))
+    wanted = spark.sparkContext.broadcast(bit_filter(met, "node ^ rep", members.count()))
     sets = written(_sets(docs, heavy, wanted), "shingles")
     batches_of(spark, SET_ROWS)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import archives, decontaminate, licences, ngram_join, packing, quality, secrets, token_files, url_filter
+from txrisk.llm import archives, decontaminate, licences, line_templates, ngram_join, packing, quality, secrets, token_files, url_filter
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -28,6 +28,11 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",").alias("families"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates: doc_id, n_lines, n_dropped, text."""
+    return line_templates.dedup(table(spark, sf_dir, "documents")).select("row.doc_id", "n_lines", "n_dropped", "text")
+
+
 def op4_multi_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 4-word shingles at Jaccard 0.85."""
     return ngram_join.join(table(spark, sf_dir, "documents"))
@@ -71,6 +76,7 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_licence_scan": op2_licence_scan,
+    "op3_line_templates": op3_line_templates,
     "op4_multi_order_join": op4_multi_order_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_string_tiling": op6_string_tiling,
@@ -86,6 +92,37 @@ _SHA1_BASE32 = """
 """
 
 ORACLE: dict[str, str] = {
+    "op3_line_templates": """
+        WITH split_up AS (
+            SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        lines AS (
+            SELECT doc_id, i, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
+                               for t in regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+') if t <> ''] AS tk
+            FROM (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM split_up)),
+        counted AS (
+            SELECT tk, len(tk) AS size, tk[1:3] AS lead, count(DISTINCT doc_id) AS n, min(doc_id) AS first
+            FROM lines WHERE len(tk) >= 3 GROUP BY tk),
+        hot AS (
+            SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY size, lead) AS total FROM counted WHERE size >= 6) WHERE total >= 10),
+        places AS (SELECT *, unnest(range(size)) AS place, unnest(tk) AS t FROM hot),
+        stays AS (
+            SELECT size, lead, place, t FROM places WHERE place >= 3 AND t <> '<*>'
+            GROUP BY size, lead, place, t, total HAVING sum(n) >= 10 AND sum(n) >= 0.05 * total),
+        shaped AS (
+            SELECT p.tk, p.n, p.first, p.size, p.lead, count(*) AS fixed, list((p.place, p.t) ORDER BY p.place) AS shape
+            FROM places p LEFT JOIN stays s ON s.size = p.size AND s.lead = p.lead AND s.place = p.place AND s.t = p.t
+            WHERE p.t <> '<*>' AND (p.place < 3 OR s.t IS NOT NULL) GROUP BY p.tk, p.n, p.first, p.size, p.lead),
+        templates AS (
+            SELECT tk, min(first) OVER (PARTITION BY size, lead, shape) AS first, sum(n) OVER (PARTITION BY size, lead, shape) AS docs
+            FROM shaped WHERE fixed >= 0.7 * size),
+        recurring AS (
+            SELECT tk, min(first) AS first
+            FROM (SELECT tk, first FROM templates WHERE docs >= 10 UNION ALL SELECT tk, first FROM counted WHERE n >= 10) GROUP BY tk),
+        dropped AS (SELECT l.doc_id, list(l.i) AS gone FROM lines l JOIN recurring r ON r.tk = l.tk WHERE l.doc_id <> r.first GROUP BY l.doc_id)
+        SELECT s.doc_id, CASE WHEN s.text IS NULL THEN 0 ELSE len(s.ls) END AS n_lines, coalesce(len(d.gone), 0) AS n_dropped,
+               CASE WHEN d.gone IS NULL THEN s.text
+                    ELSE array_to_string([s.ls[j + 1] for j in range(len(s.ls)) if NOT list_contains(d.gone, j)], chr(10)) END AS text
+        FROM split_up s LEFT JOIN dropped d ON d.doc_id = s.doc_id""",
     "op9_zip_archives": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages)
         SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_SHA1_BASE32} AS payload_digest,
