@@ -1,20 +1,18 @@
-"""Small helpers: ids, centroids, job options, quality distribution and raising suites."""
+"""Small helpers: ids, job options, quality distribution and raising suites."""
 
 import pytest
 
 from txrisk import fixtures
-from txrisk.functions.classify import country_centroid, padded_id
+from txrisk.functions.classify import padded_id
 from txrisk.operators import quality
 from txrisk.session import flag, option
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_padded_id_and_centroid(spark):
-    r = spark.createDataFrame([(42, "VN"), (7, "XX")], "n int, loc string") \
-             .select(padded_id("CUST", "n", 5).alias("id"), country_centroid("loc").alias("c")).collect()
-    assert r[0]["id"] == "CUST00042" and r[0]["c"]["latitude"] == 21.0285
-    assert r[1]["c"] is None
+def test_padded_id_never_shortens(spark):
+    r = spark.createDataFrame([(42,), (100000,), (100009,), (None,)], "n int").select(padded_id("CUST", "n", 5).alias("id")).collect()
+    assert [x["id"] for x in r] == ["CUST00042", "CUST100000", "CUST100009", None]
 
 
 def test_flags_and_options():

@@ -1,12 +1,14 @@
 """The derived ``txn`` table: transaction records built from the TPC-H-style test tables.
 
 The test data has no transaction table, so one is derived deterministically from
-``orders`` joined with its first line item's supplier/part, the customer, the
-supplier and the part.  Every column is a pure function of the joined row, so
-the same rows come out of any engine (the DuckDB form is in ``txrisk.oracle``).
-
-Plan shape: ``lineitem`` is reduced to one row per order with a partial
-(map-side) aggregate, then joined to ``orders`` on the order key.  Customer,
+``orders`` joined with each of its line items, the customer, and the line's own
+supplier and part: one transaction per line item.  An order without lines is one
+transaction without a merchant and part.  Every column is a pure function of the
+joined row, so the same rows come out of any engine (the DuckDB form is in
+``txrisk.oracle``).
+
+Plan shape: line numbers repeat within an order, so lines are numbered anew by a
+window over each order, and the join to ``orders`` reuses that shuffle.  Customer,
 supplier and part are dimension-sized; the join strategy is left to AQE, which
 broadcasts them only when their measured size is under the broadcast threshold.
 """
@@ -15,9 +17,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from txrisk.functions.classify import padded_id
+
 # Fixed values of the fixture specification.
 SEGMENTS = ["regular", "premium", "vip", "new"]
 LOCATIONS = ["VN", "US", "UK", "JP", "SG", "AU", "DE", "FR"]
@@ -28,6 +32,10 @@ MERCHANT_CATEGORIES = ["electronics", "clothing", "groceries", "food_delivery",
 PAYMENT_METHODS = ["credit_card", "debit_card", "digital_wallet", "bank_transfer", "crypto"]
 ORDER_STATUS = [("F", "completed"), ("O", "pending"), ("P", "failed")]
 FRAUD_MODULUS = 33
+# A transaction's number is order key * LINES + line (0 without lines); an order has fewer lines than that.
+LINES = 1009
+LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +63,8 @@ def plan_once(fn):
 
 
 def _pick(values: list[str], idx: Column) -> Column:
-    """values[idx] for a 0-based integer index column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+    """values[idx] for a 0-based integer index column; null for a null index."""
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), (F.coalesce(idx, F.lit(0)) + 1).cast("int")))
 
 
 def _dbl(c: Column | int) -> Column:
@@ -68,35 +76,36 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 30 base transaction columns (``fraud_rules`` is added by the rule tagger)."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    first_line = (table(spark, sf_dir, "lineitem")
-                  .groupBy("l_orderkey")
-                  .agg(F.min("l_suppkey").alias("l_suppkey"), F.min("l_partkey").alias("l_partkey")))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_partkey", "l_extendedprice",
+        F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_COLUMNS)).alias("line"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
 
     j = (orders
-         .join(first_line, orders.o_orderkey == first_line.l_orderkey)
+         .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
          .join(customer, F.col("o_custkey") == customer.c_custkey)
-         .join(supplier, F.col("l_suppkey") == supplier.s_suppkey)
-         .join(part, F.col("l_partkey") == part.p_partkey))
+         .join(supplier, F.col("l_suppkey") == supplier.s_suppkey, "left")
+         .join(part, F.col("l_partkey") == part.p_partkey, "left"))
 
-    k = F.col("o_orderkey")
+    k = F.col("o_orderkey") * LINES + F.coalesce(F.col("line"), F.lit(0))
     c = F.col("c_custkey")
     nat = F.col("c_nationkey")
     fraud = (k % FRAUD_MODULUS == 0)
-    amt = F.col("o_totalprice") / _dbl(500)
+    price = F.coalesce(F.col("l_extendedprice"), F.col("o_totalprice")) / _dbl(100)
+    amt = F.when(k % 101 == 0, -price).when(k % 103 == 0, _dbl(0)).otherwise(price)
     ts = F.col("o_orderdate") + F.make_dt_interval(secs=((k * 7919) % 86400).cast("int"))
     status = F.lit(None).cast("string")
     for code, name in reversed(ORDER_STATUS):
         status = F.when(F.col("o_orderstatus") == code, F.lit(name)).otherwise(status)
 
     return j.select(
-        F.concat(F.lit("TX"), F.lpad(k.cast("string"), 9, "0")).alias("transaction_id"),
+        padded_id("TX", k, 9).alias("transaction_id"),
         F.when(fraud, amt * _dbl(2)).otherwise(amt).alias("amount"),
         F.lit("USD").alias("currency"),
         ts.alias("timestamp"),
-        F.concat(F.lit("CUST"), F.lpad(c.cast("string"), 5, "0")).alias("customer_id"),
+        padded_id("CUST", c, 5).alias("customer_id"),
         F.when(k % 7 == 0, F.concat(F.col("c_name"), F.lit(" Jr"))).otherwise(F.col("c_name"))
         .alias("customer_name"),
         F.concat(F.lower(F.col("c_name")), F.lit("@example.com")).alias("customer_email"),
@@ -105,14 +114,14 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(LOCATIONS, nat % 8).alias("location"),
         fraud.cast("int").alias("is_fraud"),
         _pick(TRANSACTION_TYPES, (k % 7) % 5).alias("transaction_type"),
-        F.concat(F.lit("DEV"), F.lpad((k % 5000).cast("string"), 6, "0")).alias("device_id"),
+        padded_id("DEV", k % 5000, 6).alias("device_id"),
         _pick(DEVICE_OS, (k % 5000) % 6).alias("device_os"),
         F.concat(F.lit("Model-"), F.col("p_brand")).alias("device_model"),
         F.concat(F.lit("10.0."), (k % 256).cast("string"), F.lit("."), (c % 256).cast("string"))
         .alias("ip_address"),
-        F.concat(F.lit("MERCH"), F.lpad(F.col("s_suppkey").cast("string"), 4, "0")).alias("merchant_id"),
-        F.col("s_name").alias("merchant_name"),
-        _pick(MERCHANT_CATEGORIES, F.col("s_suppkey") % 10).alias("merchant_category"),
+        padded_id("MERCH", F.col("s_suppkey"), 4).alias("merchant_id"),
+        F.when(k % 3 == 0, F.concat(F.col("s_name"), F.lit(" II"))).otherwise(F.col("s_name")).alias("merchant_name"),
+        _pick(MERCHANT_CATEGORIES, (F.col("s_suppkey") + k % 2) % 10).alias("merchant_category"),
         F.concat(F.lit("agent/"), (k % 9).cast("string")).alias("user_agent"),
         _pick(PAYMENT_METHODS, k % 5).alias("payment_method"),
         status.alias("transaction_status"),
@@ -197,7 +206,7 @@ def txn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from txrisk.schema import TRANSACTION_COLUMNS
 
     base = with_fraud_rules(txn(spark, sf_dir)).withColumn(
-        "_k", F.substring("transaction_id", 3, 9).cast("bigint"))
+        "_k", F.expr("substring(transaction_id, 3)").cast("bigint"))
     f = F.col("_k") % FAULT_MODULUS
     members = []
     for name in TRANSACTION_COLUMNS:

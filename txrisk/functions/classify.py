@@ -91,20 +91,7 @@ def day_name(ts: Column | str = "timestamp") -> Column:
     return F.date_format(_c(ts), "EEEE")
 
 
-# Country -> (latitude, longitude) centroid used for generated coordinates.
-COUNTRY_CENTROIDS = {
-    "VN": (21.0285, 105.8542), "US": (37.7749, -122.4194), "UK": (51.5074, -0.1278), "JP": (35.6762, 139.6503),
-    "SG": (1.3521, 103.8198), "AU": (-33.8688, 151.2093), "DE": (52.5200, 13.4050), "FR": (48.8566, 2.3522),
-}
-
-
-def country_centroid(location: Column | str = "location") -> Column:
-    """struct(latitude, longitude) of a country code from a literal map; null if unknown."""
-    m = F.create_map(*[x for code, (lat, lon) in COUNTRY_CENTROIDS.items()
-                       for x in (F.lit(code), F.struct(F.lit(lat).alias("latitude"), F.lit(lon).alias("longitude")))])
-    return F.try_element_at(m, _c(location))
-
-
 def padded_id(prefix: str, num: Column | str, width: int) -> Column:
-    """Prefix + zero-padded number, e.g. CUST00042."""
-    return F.concat(F.lit(prefix), F.lpad(_c(num).cast("string"), width, "0"))
+    """Prefix + number, zero-padded to at least ``width`` digits, e.g. CUST00042; longer numbers stay whole."""
+    digits = _c(num).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits))

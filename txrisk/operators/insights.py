@@ -62,13 +62,16 @@ def explode_rules(df: DataFrame, outer: bool = False) -> DataFrame:
 def fraud_by_device_and_age(fact: DataFrame, dim_device: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Fact joined to device and customer dimensions, fraud counts by device type and age group.
 
-    The fact is reduced to (device_id, customer_id) partial counts before the
-    joins; dimension fan-out replicates partial rows exactly as it would raw rows.
+    Each dimension is reduced to (key, class, number of rows) before the joins and
+    the numbers multiply the counts: the result of joining every dimension row,
+    without repeating fact rows.
     """
     part = (fact.groupBy("device_id", "customer_id")
                 .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_fraud") == 1).alias("n_fraud")))
-    return (part.join(dim_device.select("device_id", "device_type"), "device_id")
-                .join(dim_customer.select("customer_id", "age_group"), "customer_id")
+    devices = dim_device.groupBy("device_id", "device_type").agg(F.count(F.lit(1)).alias("w_device"))
+    customers = dim_customer.groupBy("customer_id", "age_group").agg(F.count(F.lit(1)).alias("w_customer"))
+    weight = F.col("w_device") * F.col("w_customer")
+    return (part.join(devices, "device_id").join(customers, "customer_id")
                 .groupBy("device_type", "age_group")
-                .agg(F.sum("n").cast("bigint").alias("total_transactions"),
-                     F.sum("n_fraud").cast("bigint").alias("fraud_transactions")))
+                .agg(F.sum(F.col("n") * weight).cast("bigint").alias("total_transactions"),
+                     F.sum(F.col("n_fraud") * weight).cast("bigint").alias("fraud_transactions")))

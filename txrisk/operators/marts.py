@@ -178,6 +178,26 @@ def _fact_partials(fact: DataFrame) -> DataFrame:
                      F.sum(F.when(_is_fraud(), amt)).alias("s_fraud_amount")))
 
 
+def _weighted(dim: DataFrame, key: str, attributes: list[str], name: str) -> DataFrame:
+    """A dimension reduced to (key, attributes used, number of its rows): joins then replicate nothing.
+
+    A star join repeats a fact row once for each dimension row of its key; the
+    product of the weights says how often.
+    """
+    return dim.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias(name))
+
+
+_WEIGHTS = ["w_merchant", "w_location", "w_time", "w_payment"]
+
+
+def _times_weights(partials: DataFrame) -> DataFrame:
+    weight = F.lit(1)
+    for name in _WEIGHTS:
+        weight = weight * F.col(name)
+    measures = ["n", "n_fraud", "n_amount", "n_fraud_amount", "s_amount", "s_fraud_amount"]
+    return partials.withColumn("_w", weight).withColumns({m: F.col(m) * F.col("_w") for m in measures})
+
+
 def _final_measures() -> list[Column]:
     total = F.sum("n").cast("bigint")
     frauds = F.sum("n_fraud").cast("bigint")
@@ -194,24 +214,26 @@ def _final_measures() -> list[Column]:
 def fraud_detection_metrics(fact: DataFrame, dim_merchant_df: DataFrame, dim_location_df: DataFrame,
                             dim_time_df: DataFrame, dim_payment_df: DataFrame) -> DataFrame:
     """The star-join mart, exact under dimension fan-out (inner joins)."""
-    dm = dim_merchant_df.select("merchant_id", "merchant_category", "risk_category")
-    dl = dim_location_df.select("location_key", "country_code", "continent")
-    dt = dim_time_df.select("time_key", "date", "day_of_week", "time_of_day")
-    dpm = dim_payment_df.select("payment_method_key", "payment_method", "payment_risk_level")
-    return (_fact_partials(fact)
-            .join(dpm, "payment_method_key")
-            .join(dm, "merchant_id")
-            .join(dl, "location_key")
-            .join(dt, "time_key")
-            .groupBy(*MART_GROUP)
-            .agg(*_final_measures()))
+    dm = _weighted(dim_merchant_df, "merchant_id", ["merchant_category", "risk_category"], "w_merchant")
+    dl = _weighted(dim_location_df, "location_key", ["country_code", "continent"], "w_location")
+    dt = _weighted(dim_time_df, "time_key", ["date", "day_of_week", "time_of_day"], "w_time")
+    dpm = _weighted(dim_payment_df, "payment_method_key", ["payment_method", "payment_risk_level"], "w_payment")
+    return _joined(_fact_partials(fact), dm, dl, dt, dpm)
+
+
+def _joined(partials: DataFrame, dm: DataFrame, dl: DataFrame, dt: DataFrame, dpm: DataFrame) -> DataFrame:
+    """The mart from fact partials and weighted dimensions."""
+    joined = (partials.join(dpm, "payment_method_key").join(dm, "merchant_id")
+                      .join(dl, "location_key").join(dt, "time_key"))
+    return _times_weights(joined).groupBy(*MART_GROUP).agg(*_final_measures())
 
 
 def fraud_detection_metrics_flat(stg: DataFrame) -> DataFrame:
     """Join-free mart: every dimension attribute is a function of the staged row.
 
-    Equals the star form whenever each dimension has one row per key (true when
-    merchant names are stable per id); one shuffle instead of five.
+    Counts every transaction once, with its own attributes.  That is the star form
+    where each dimension has one row per key; where a merchant id has several names
+    or categories the star form counts its transactions once for each of them.
     """
     amt = F.col("amount").cast(AMOUNT_DECIMAL)
     return (stg.filter(F.col("merchant_id").isNotNull() & F.col("location_key").isNotNull()
@@ -233,6 +255,27 @@ def fraud_detection_metrics_flat(stg: DataFrame) -> DataFrame:
                     .alias("avg_fraud_amount")))
 
 
+def fraud_detection_metrics_rows(stg: DataFrame) -> DataFrame:
+    """The star-join mart with only the joins that can change a count.
+
+    Location and payment keys are hashes of all their dimension's columns, so those
+    attributes come from the staged row itself.  A merchant id or a time key can have
+    several dimension rows; these two dimensions are joined, weighted.
+    """
+    merchants = _weighted(dim_merchant(stg), "merchant_id", ["merchant_category", "risk_category"], "w_merchant")
+    times = _weighted(dim_time(stg), "time_key", ["date", "day_of_week", "time_of_day"], "w_time")
+    amt = F.col("amount").cast(AMOUNT_DECIMAL)
+    own = (stg.filter(F.col("location_key").isNotNull() & F.col("payment_method_key").isNotNull())
+              .groupBy("merchant_id", "time_key", F.col("location").alias("country_code"), K.continent().alias("continent"),
+                       "payment_method", K.payment_risk().alias("payment_risk_level"))
+              .agg(F.count(F.lit(1)).alias("n"), F.count_if(_is_fraud()).alias("n_fraud"), F.count("amount").alias("n_amount"),
+                   F.count_if(_is_fraud() & F.col("amount").isNotNull()).alias("n_fraud_amount"),
+                   F.sum(amt).alias("s_amount"), F.sum(F.when(_is_fraud(), amt)).alias("s_fraud_amount")))
+    joined = own.join(merchants, "merchant_id").join(times, "time_key")
+    return (_times_weights(joined.withColumns({"w_location": F.lit(1), "w_payment": F.lit(1)}))
+            .groupBy(*MART_GROUP).agg(*_final_measures()))
+
+
 def build_star(stg: DataFrame, dim_mode: str = "distinct") -> dict[str, DataFrame]:
     """All six dimensions and the fact from one staging frame.
 
@@ -274,9 +317,9 @@ def fraud_detection_metrics_onepass(stg: DataFrame) -> DataFrame:
     One GROUPING SETS aggregate yields (a) the fact partials per join-key tuple
     and (b) the distinct attribute tuples of the merchant, location, time and
     payment dimensions -- exactly the rows the DISTINCT dimension models hold.
-    That small result is written once and joined; dimension fan-out multiplies
-    partial rows as it would multiply fact rows, so the output equals the star
-    join.  Staging is read once and shuffled once (after map-side partial
+    That small result is written once; each dimension is reduced to its
+    attributes with a row count, and the counts multiply the measures, so the
+    output equals the star join without repeating rows.  Staging is read once and shuffled once (after map-side partial
     aggregation) instead of once per dimension.
     """
     from txrisk.sources.zones import materialize
@@ -315,9 +358,8 @@ def fraud_detection_metrics_onepass(stg: DataFrame) -> DataFrame:
     dt = part("t", ["time_key"], [F.to_date("timestamp").alias("date"), "day_of_week",
                                   K.time_of_day().alias("time_of_day")])
     dpm = part("p", ["payment_method_key"], ["payment_method", K.payment_risk().alias("payment_risk_level")])
-    return (fact.join(dpm, "payment_method_key")
-                .join(dm, "merchant_id")
-                .join(dl, "location_key")
-                .join(dt, "time_key")
-                .groupBy(*MART_GROUP)
-                .agg(*_final_measures()))
+    return _joined(fact,
+                   _weighted(dm, "merchant_id", ["merchant_category", "risk_category"], "w_merchant"),
+                   _weighted(dl, "location_key", ["country_code", "continent"], "w_location"),
+                   _weighted(dt, "time_key", ["date", "day_of_week", "time_of_day"], "w_time"),
+                   _weighted(dpm, "payment_method_key", ["payment_method", "payment_risk_level"], "w_payment"))

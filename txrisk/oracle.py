@@ -14,28 +14,35 @@ from __future__ import annotations
 # star-schema tables as CTEs.
 TXN_CTE = """
 li AS (
-  SELECT l_orderkey, min(l_suppkey) AS l_suppkey, min(l_partkey) AS l_partkey
-  FROM lineitem GROUP BY l_orderkey
+  SELECT l_orderkey, l_suppkey, l_partkey, l_extendedprice,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS line
+  FROM lineitem
+),
+numbered AS (
+  SELECT o.*, li.*, o.o_orderkey * 1009 + coalesce(li.line, 0) AS k
+  FROM orders o LEFT JOIN li ON o.o_orderkey = li.l_orderkey
 ),
 j AS (
-  SELECT o.o_orderkey AS k, o.o_orderstatus, c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal,
+  SELECT o.k, o.o_orderstatus, c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal,
          s.s_suppkey, s.s_name, p.p_brand,
-         o.o_orderdate + INTERVAL '1' SECOND * CAST((o.o_orderkey * 7919) % 86400 AS INTEGER) AS ts,
-         o.o_totalprice / CAST(500 AS DOUBLE) AS amt,
-         CAST(o.o_orderkey % 33 = 0 AS INTEGER) AS fr
-  FROM orders o
-  JOIN li ON o.o_orderkey = li.l_orderkey
+         o.o_orderdate + INTERVAL '1' SECOND * CAST((o.k * 7919) % 86400 AS INTEGER) AS ts,
+         CASE WHEN o.k % 101 = 0 THEN -(coalesce(o.l_extendedprice, o.o_totalprice) / CAST(100 AS DOUBLE))
+              WHEN o.k % 103 = 0 THEN CAST(0 AS DOUBLE)
+              ELSE coalesce(o.l_extendedprice, o.o_totalprice) / CAST(100 AS DOUBLE) END AS amt,
+         CAST(o.k % 33 = 0 AS INTEGER) AS fr
+  FROM numbered o
   JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN supplier s ON li.l_suppkey = s.s_suppkey
-  JOIN part p ON li.l_partkey = p.p_partkey
+  LEFT JOIN supplier s ON o.l_suppkey = s.s_suppkey
+  LEFT JOIN part p ON o.l_partkey = p.p_partkey
 ),
 txn AS (
   SELECT
-    'TX' || lpad(CAST(k AS VARCHAR), 9, '0') AS transaction_id,
+    'TX' || lpad(CAST(k AS VARCHAR), CAST(greatest(9, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS transaction_id,
     CASE WHEN fr = 1 THEN amt * CAST(2 AS DOUBLE) ELSE amt END AS amount,
     'USD' AS currency,
     ts AS "timestamp",
-    'CUST' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS customer_id,
+    'CUST' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS customer_id,
     CASE WHEN k % 7 = 0 THEN c_name || ' Jr' ELSE c_name END AS customer_name,
     lower(c_name) || '@example.com' AS customer_email,
     CAST(18 + c_custkey % 63 AS INTEGER) AS customer_age,
@@ -44,14 +51,14 @@ txn AS (
     fr AS is_fraud,
     (['purchase', 'transfer', 'withdrawal', 'payment', 'refund'])[CAST((k % 7) % 5 AS INTEGER) + 1]
       AS transaction_type,
-    'DEV' || lpad(CAST(k % 5000 AS VARCHAR), 6, '0') AS device_id,
+    'DEV' || lpad(CAST(k % 5000 AS VARCHAR), CAST(greatest(6, length(CAST(k % 5000 AS VARCHAR))) AS INTEGER), '0') AS device_id,
     (['Android', 'iOS', 'Windows', 'macOS', 'Linux', 'Other'])[CAST((k % 5000) % 6 AS INTEGER) + 1] AS device_os,
     'Model-' || p_brand AS device_model,
     '10.0.' || CAST(k % 256 AS VARCHAR) || '.' || CAST(c_custkey % 256 AS VARCHAR) AS ip_address,
-    'MERCH' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS merchant_id,
-    s_name AS merchant_name,
+    'MERCH' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS merchant_id,
+    CASE WHEN k % 3 = 0 THEN s_name || ' II' ELSE s_name END AS merchant_name,
     (['electronics', 'clothing', 'groceries', 'food_delivery', 'entertainment', 'travel', 'utilities',
-      'services', 'financial', 'gaming'])[CAST(s_suppkey % 10 AS INTEGER) + 1] AS merchant_category,
+      'services', 'financial', 'gaming'])[CAST((s_suppkey + k % 2) % 10 AS INTEGER) + 1] AS merchant_category,
     'agent/' || CAST(k % 9 AS VARCHAR) AS user_agent,
     (['credit_card', 'debit_card', 'digital_wallet', 'bank_transfer', 'crypto'])[CAST(k % 5 AS INTEGER) + 1]
       AS payment_method,
@@ -172,6 +179,28 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9
 """)
 
 
+# The mart without joins: each transaction counts once, with its own attributes.
+FLAT_SQL = with_txn("""
+SELECT s.merchant_category,
+       CASE WHEN s.merchant_category IN ('electronics', 'gaming', 'financial') THEN 'High Risk'
+            WHEN s.merchant_category IN ('travel', 'entertainment') THEN 'Medium Risk' ELSE 'Low Risk' END AS risk_category,
+       dl.country_code, dl.continent, dt.date, dt.day_of_week,
+       dt.time_of_day, dpm.payment_method, dpm.payment_risk_level,
+       CAST(COUNT(*) AS BIGINT) AS total_transactions,
+       CAST(SUM(s.is_fraud) AS BIGINT) AS fraud_transactions,
+       CAST(SUM(s.is_fraud) AS BIGINT) / NULLIF(COUNT(*), 0) * 100 AS fraud_rate,
+       CAST(SUM(CAST(s.amount AS DECIMAL(18,5))) AS DOUBLE) / NULLIF(COUNT(s.amount), 0) AS avg_transaction_amount,
+       CAST(SUM(CASE WHEN s.is_fraud = 1 THEN CAST(s.amount AS DECIMAL(18,5)) END) AS DOUBLE)
+         / NULLIF(COUNT(CASE WHEN s.is_fraud = 1 THEN s.amount END), 0) AS avg_fraud_amount
+FROM stg s
+JOIN dim_location dl ON s.location_key = dl.location_key
+JOIN dim_time dt ON s.time_key = dt.time_key
+JOIN dim_payment_method dpm ON s.payment_method_key = dpm.payment_method_key
+WHERE s.merchant_id IS NOT NULL
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9
+""")
+
+
 def _latest(key: str, attrs: list[str], extra: str) -> str:
     cols = ", ".join(attrs)
     return with_txn(f"""
@@ -192,8 +221,9 @@ ORACLE: dict[str, str] = {
     "dim_time": with_txn("SELECT * FROM dim_time"),
     "fact_transactions": with_txn("SELECT * FROM fact_transactions"),
     "fraud_detection_metrics": MART_SQL,
-    "fraud_detection_metrics_flat": MART_SQL,
+    "fraud_detection_metrics_flat": FLAT_SQL,
     "fraud_detection_metrics_star": MART_SQL,
+    "fraud_detection_metrics_onepass": MART_SQL,
     "fraud_detection_metrics_latest": MART_SQL.replace(
         "JOIN dim_merchant dm ON", "JOIN dim_merchant_latest dm ON").replace(
         "fact_transactions AS (", """dim_merchant_latest AS (
@@ -282,8 +312,8 @@ def _messages_cte() -> str:
     members = ",\n      ".join(_msg_member(n) for n in _MSG_FIELDS)
     return f"""
 msg_base AS (
-  SELECT *, CAST(substr(transaction_id, 3, 9) AS BIGINT) AS k,
-         CAST(substr(transaction_id, 3, 9) AS BIGINT) % 50 AS f
+  SELECT *, CAST(substr(transaction_id, 3) AS BIGINT) AS k,
+         CAST(substr(transaction_id, 3) AS BIGINT) % 50 AS f
   FROM txn
 ),
 msg_doc AS (

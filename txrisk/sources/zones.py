@@ -69,21 +69,6 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.parquet(target)
 
 
-def compact(spark: SparkSession, df: DataFrame, dst: str, target_file_rows: int = 5_000_000) -> int:
-    """A10: write ``df`` as Parquet files of roughly ``target_file_rows`` rows.
-
-    The row count is measured in the same job that writes, via ``observe``; the
-    file size is bounded by Spark's ``maxRecordsPerFile`` rather than by a
-    global repartition.
-    """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-    obs = Observation("compact")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode("overwrite").option("maxRecordsPerFile", target_file_rows).parquet(check_path(dst)))
-    return obs.get["rows"]
-
-
 # --- versioned tables (upsert targets) ----------------------------------------
 # A table is a folder of version sub-folders ``v=<n>``; a version counts once its
 # ``_SUCCESS`` marker exists.  Writing a new version never touches the one being
@@ -100,6 +85,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
+    """Remove the folders of partition values of a Parquet table."""
+    fs, base, jvm = _fs(spark, path)
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(base, f"{col}={name}"), True)
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
