@@ -27,6 +27,7 @@ def msg(**changes):
 
 CASES = [
     ("base", msg(), None),
+    ("bracket in a string", msg(note='a] x'), None),
     ("extra field", msg(note="x"), None),
     ("amount true", msg(amount=True), None),
     ("is_fraud 1.0", msg(is_fraud=1.0), None),
@@ -69,7 +70,7 @@ CASES = [
     ("number", "7", S.MSG_NOT_OBJECT),
 ]
 
-MALFORMED = ["{bad", "", '{"a":1} x', '{"a":1}{"a":2}', '{"a":1},{"a":2}', "   ", '{"amount": NaN}']
+MALFORMED = [msg() + "] x", msg() + '] {"a":1}', "{bad", "", '{"a":1} x', '{"a":1}{"a":2}', '{"a":1},{"a":2}', "   ", '{"amount": NaN}']
 
 
 @pytest.fixture(scope="module")

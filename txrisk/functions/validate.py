@@ -42,9 +42,24 @@ STATUS_MALFORMED = "malformed"
 STATUS_TOMBSTONE = "tombstone"
 
 
+# A bracket that ends an array and is followed by none of , ] } or the end: fine only inside a string.
+ODD_BRACKET = r"\]\s*[^\s,\]}]"
+
+
+def _wrapped(text: Column) -> Column:
+    """The text as the only element of an array, parsed; null if it is no JSON there.
+
+    The parser ignores what follows the wrapper's end, so a text with an odd bracket,
+    which might end it early, must also parse as the value of an object.
+    """
+    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    value = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when(~text.rlike(ODD_BRACKET) | value.isNotNull(), array)
+
+
 def strict_parse(text: Column) -> Column:
     """variant of a text holding exactly one JSON document, else null."""
-    w = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    w = _wrapped(text)
     one = F.try_variant_get(w, "$[0]", "variant")
     two = F.try_variant_get(w, "$[1]", "variant")
     return F.when(one.isNotNull() & two.isNull(), one)
@@ -151,7 +166,7 @@ def validate(messages: DataFrame, value_col: str = "value") -> DataFrame:
         F.when(F.col("_bits").bitwiseAND(F.lit(1 << i)) != 0, F.lit(msg)) for i, (_, msg) in enumerate(rules)])
     return (messages
             .select(*keep, raw.isNull().alias("_tomb"),
-                    F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))).alias("_w"))
+                    _wrapped(raw).alias("_w"))
             .select(*keep, "_tomb",
                     F.when(F.try_variant_get("_w", "$[1]", "variant").isNull(),
                            F.try_variant_get("_w", "$[0]", "variant")).alias("payload"))
