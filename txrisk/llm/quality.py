@@ -148,16 +148,15 @@ class KneserNey:
         for order in range(1, ORDER + 1):
             own = codes & (CLASSES ** order - 1)
             at, found = self._find(slot, order, own)
-            if order > 1:
-                context, known = self._find(slot, order - 1, own >> BITS)
-                p = np.where(known, p * self.left[context], p) if len(self.keys) else p
+            context, known = self._find(slot, order - 1, own >> BITS)
             if len(self.keys):
-                p = np.where(found, self.prob[at], p)
+                p = np.where(known, p * self.left[context], p)
+                p = np.where(found & ~np.isnan(self.prob[at]), self.prob[at], p)
         return np.log(p)
 
 
 def _interpolated(codes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order from 1: n-grams, their interpolated probabilities, and the weight each leaves as a context.
+    """For each order from 0: n-grams, their interpolated probabilities, and the weight each leaves as a context.
 
     The highest order uses counts, a lower one the number of characters seen before the n-gram.
     """
@@ -165,30 +164,25 @@ def _interpolated(codes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int,
     for order in range(ORDER - 1, 0, -1):
         shorter, times = np.unique(levels[order + 1][0] & (CLASSES ** order - 1), return_counts=True)
         levels[order] = (shorter, times.astype(np.float64))
-    found: dict[int, np.ndarray] = {}
+    none = np.zeros(0, np.int64)
+    lower, left = {0: (np.zeros(1, np.int64), np.full(1, 1.0 / CLASSES))}, {ORDER: (none, np.zeros(0))}
     for order in range(1, ORDER + 1):
         grams_, n = levels[order]
         discount = discounts(n)
-        context = grams_ >> BITS
-        heads, group = np.unique(context, return_inverse=True)
+        heads, group = np.unique(grams_ >> BITS, return_inverse=True)
         total = np.bincount(group, n)
-        free = np.bincount(group, discount) / total
-        if order == 1:
-            lower = np.full(len(grams_), 1.0 / CLASSES)
-        else:
-            below = levels[order - 1][0]
-            lower = found[order - 1][np.searchsorted(below, grams_ & (CLASSES ** (order - 1) - 1))]
-        p = (n - discount) / total[group] + free[group] * lower
-        found[order] = p
-        # what this order's n-grams leave as contexts of the next order
-        weight = np.ones(len(grams_))
-        if order < ORDER:
-            after, times = levels[order + 1]
-            heads, group = np.unique(after >> BITS, return_inverse=True)
-            share = np.bincount(group, discounts(times)) / np.bincount(group, times)
-            at = np.minimum(np.searchsorted(heads, grams_), len(heads) - 1)
-            weight = np.where(heads[at] == grams_, share[at], 1.0)
-        yield order, grams_, p, weight
+        left[order - 1] = heads, np.bincount(group, discount) / total
+        shorter, p = lower[order - 1]
+        p = p[np.searchsorted(shorter, grams_ & (CLASSES ** (order - 1) - 1))]
+        lower[order] = grams_, (n - discount) / total[group] + left[order - 1][1][group] * p
+    for order in range(ORDER + 1):
+        (grams_, p), (heads, weight) = lower[order], left[order]
+        # an n-gram that was only seen first in a text is a context, but has no probability of its own
+        every = np.union1d(grams_, heads)
+        prob, leaves = np.full(len(every), np.nan), np.ones(len(every))
+        prob[np.searchsorted(every, grams_)] = p
+        leaves[np.searchsorted(every, heads)] = weight
+        yield order, every, prob, leaves
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
