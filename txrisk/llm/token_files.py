@@ -85,14 +85,14 @@ def separator_scan(files: DataFrame, end_id: int, dtype: str = "<u2", block_toke
                     .mapInPandas(search, "path string, block long, begin long, size long, ends array<long>"), "token-blocks")
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("path")
-    stitched = (found.withColumn("last_end", F.element_at("ends", -1))
+    stitched = (found.withColumn("last_end", F.try_element_at("ends", F.lit(-1)))
                 .withColumn("ordinal0", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
                 .withColumn("start0", F.coalesce(F.max("last_end").over(before) + 1, F.lit(0)))
                 .withColumn("file_end", F.max(F.col("begin") + F.col("size")).over(whole))
                 .withColumn("file_last", F.coalesce(F.max("last_end").over(whole), F.lit(-1)))
                 .withColumn("file_docs", F.sum(F.size("ends")).over(whole)))
     ended = (stitched.select("path", "ordinal0", "start0", "ends", F.posexplode("ends").alias("i", "end"))
-             .withColumn("start", F.when(F.col("i") == 0, F.col("start0")).otherwise(F.element_at("ends", F.greatest("i", F.lit(1))) + 1))
+             .withColumn("start", F.when(F.col("i") == 0, F.col("start0")).otherwise(F.try_element_at("ends", F.greatest("i", F.lit(1))) + 1))
              .select("path", (F.col("ordinal0") + F.col("i")).alias("ordinal"), "start", (F.col("end") - F.col("start")).alias("n_tokens"),
                      F.lit(True).alias("terminated")))
     open_end = (stitched.filter((F.col("block") == 0) & (F.col("file_last") + 1 < F.col("file_end")))
