@@ -146,7 +146,7 @@ def directory(read, size: int) -> dict[str, tuple[int, int]]:
     tail_at = max(0, size - 22 - FULL16 - 20)
     tail = read(tail_at, size - tail_at)
     at = tail.rfind(END)
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
         at = tail.rfind(END, 0, at)  # the signature may stand in the comment
     if at < 0:
         raise ValueError("no end of central directory")
