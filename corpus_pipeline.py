@@ -31,9 +31,11 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     groups = ngram_join.join(docs)
     keep = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id")
             .agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("kept_id"), "n"))
-    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kept = rows.join(keep, F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")))
     single, repeated = kept.filter("n = 1 OR kept_id IS NULL"), kept.filter("n > 1 AND kept_id IS NOT NULL")
-    return single.select(*docs.columns).unionByName(repeated.dropDuplicates(["kept_id", "text"]).select(*docs.columns))
+    one = repeated.select("row", "kept_id", F.col("row.text").alias("text")).dropDuplicates(["kept_id", "text"])
+    return single.select("row.*").unionByName(one.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
