@@ -17,6 +17,11 @@ def strings(values: list[str]) -> Column:
     return F.split(F.lit("\n".join(values)), "\n")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it inside a loop over an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def fit(spark: SparkSession, rows: DataFrame, vocabulary: list[str], classes: int, strength: float, sparse: float,
         iterations: int) -> tuple[list[list[float]], list[float]]:
     """Weights by class and feature, and intercepts, from ``rows`` (features array<string>, label double, weight double).

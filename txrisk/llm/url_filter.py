@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from txrisk.llm.linear import doubles, fit
+from txrisk.llm.linear import doubles, fit, let
 
 #: Hash places, n-gram lengths, and the most rows of the labelled table that are used (those of the smallest hashes).
 PLACES, LENGTHS, MOST_LABELLED = 2048, (3, 4), 4000
@@ -81,11 +81,14 @@ def rule_of(rules: list[Rule], host: Column, path: Column, value) -> Column:
 
 def _grams(text: Column, kind: int, length: int) -> Column:
     """Hash places of the character n-grams of ``text`` with its two ends marked."""
-    chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-    chars = F.filter(chars, lambda c: c != "")
-    starts = F.when(F.size(chars) >= length, F.sequence(F.lit(0), F.size(chars) - length)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.pmod(
-        F.xxhash64(F.lit(kind), F.concat(*(F.get(chars, i + k) for k in range(length)))), F.lit(PLACES)).cast("int"))
+    chars = F.filter(F.split(F.concat(F.lit("^"), text, F.lit("$")), ""), lambda c: c != "")
+
+    def of(c: Column) -> Column:
+        starts = F.when(F.size(c) >= length, F.sequence(F.lit(0), F.size(c) - length)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.pmod(
+            F.xxhash64(F.lit(kind), F.concat(*(F.get(c, i + k) for k in range(length)))), F.lit(PLACES)).cast("int"))
+
+    return let(chars, of)
 
 
 def features(host: Column, path: Column) -> Column:
