@@ -706,6 +706,5 @@ SELECT window_start, window_start + INTERVAL '30 days' AS window_end,
          AS fraud
 FROM win
 GROUP BY 1
-HAVING window_start + INTERVAL '30 days' <= (SELECT max(kafka_timestamp) FROM validated) - INTERVAL '1 day'
 """).replace("\n, win AS", ",\nwin AS"),
 })
