@@ -167,11 +167,11 @@ FILTER_BITS = 26
 
 
 def bit_filter(rows: DataFrame, value: str, count: int) -> np.ndarray:
-    """Bits of the low part of a random long ``value``: at least 8 for each of ``count`` rows, as far as FILTER_BITS go.
+    """Bits of the low part of a random long ``value``: at least 32 for each of ``count`` rows, as far as FILTER_BITS go.
 
     A row that is not in ``rows`` may pass, so a join must follow; with more rows than bits the filter only saves less.
     """
-    size = 1 << min(FILTER_BITS, max(16, (8 * count).bit_length()))
+    size = 1 << min(FILTER_BITS, max(16, (32 * count).bit_length()))
     found = (rows.selectExpr(f"({value}) & {size - 1} AS place")
              .selectExpr("shiftright(place, 3) AS byte", "shiftleft(1, cast(place & 7 AS int)) AS bit")
              .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())

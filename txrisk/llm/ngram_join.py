@@ -5,9 +5,11 @@ A document's set holds its distinct 4-word shingles.  Two sets that are similar
 the tokens of their prefix.  Where they meet, a pair must also share prefix tokens under orders 2 and 3 before its
 sets are compared exactly.
 
-The orders need only be the same everywhere.  All put tokens that many documents have last, by a count sketch over all
-documents (a table of fixed size); among the rest, order 1 takes the longest shingles first, order 2 those with the
-longest shortest word, order 3 a hash.  Long shingles are rare, so few unlike documents meet.
+The orders need only be the same everywhere.  All are made from how rare a shingle's words are, by a count sketch over
+the words of all documents (a table of fixed size): order 1 goes by the rarest word, then by all four; order 2 by all
+four, then by the rarest; order 3 by the rarest, then by a hash.  A shingle with a word that occurs once in the whole
+corpus stands in no other document: it has its place in the prefix, but nobody is met there.  Passages that many
+documents share come last.
 
 No pairs are emitted.  Documents that share a token meet at the list's smallest set key (the pivot), so that lists with
 many common members become one.  A task compares a block of a list, with its pivot, by matrix products, and
@@ -34,42 +36,41 @@ from txrisk.llm.components import components
 
 WIDTH, PERCENT = 4, 85
 
-#: Rows of sets in one Arrow batch.
-SET_ROWS = 128
+#: Rows in one Arrow batch, of documents and of sets.
+SET_ROWS = 256
 
-#: Places of the count sketch, documents of a list in one block.
-SKETCH_BITS, BLOCK = 22, 256
+#: Places of the word sketch, documents of a list in one block.
+SKETCH_BITS, BLOCK = 24, 256
 SLICES = 64
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Shingles:
-    """The distinct shingles of every row of a column: sorted by row, then hash."""
+    """The distinct shingles of every row of a column, by row, then hash; ``levels``: how frequent each sketch place is."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, levels: np.ndarray):
         data, offsets = utf8(column)
         scan = WordScan(data, offsets, lower=True)
-        sizes = (scan.ends - scan.starts).astype(np.int64)
         words = np.diff(scan.first)
+        level = levels[scan.hash >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64)
         parts = []
         for width in range(1, WIDTH + 1):
             at, key = scan.windows(width)
             if width < WIDTH:
                 short = words[scan.row[at]] == width
                 at, key = at[short], key[short]
-            total, least = sizes[at].copy(), sizes[at].copy()
+            total, least = level[at], level[at]
             for k in range(1, width):
-                total += sizes[at + k]
-                least = np.minimum(least, sizes[at + k])
-            parts.append((scan.row[at], key, np.minimum(total, 255), np.minimum(least, 63)))
+                total = total + level[at + k]
+                least = np.minimum(least, level[at + k])
+            parts.append((scan.row[at], key, np.minimum(total, np.uint64(255)), least))
         row, key, total, least = (np.concatenate(x) for x in zip(*parts))
         by = np.lexsort((key, row))
         row, key = row[by], key[by]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-        self.row, self.key = row[new], key[new]
-        self.total, self.least = total[by][new].astype(np.uint64), least[by][new].astype(np.uint64)
+        self.row, self.key, self.total, self.least = row[new], key[new], total[by][new], least[by][new]
         self.first = np.searchsorted(self.row, np.arange(len(offsets)))
         self.n = np.diff(self.first)
 
@@ -78,12 +79,11 @@ class Shingles:
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(self.key ^ GOLD), dtype=np.uint64)])
         return mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.n.astype(np.uint64) * GOLD).astype(np.int64)
 
-    def prefix(self, order: int, heavy: np.ndarray) -> np.ndarray:
-        """Which shingles stand in their row's prefix under an order; ``heavy`` is the class of every sketch place."""
-        weight = heavy[self.key >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64)
-        own = (np.uint64(255) - self.total, np.uint64(63) - self.least, np.uint64(0))[order]
+    def prefix(self, order: int) -> np.ndarray:
+        """Which shingles stand in their row's prefix under an order."""
+        high, low = ((self.least, self.total), (self.total, self.least), (self.least, np.uint64(0)))[order]
         salted = self.key if order == 0 else mix(self.key + np.uint64(order * int(GOLD) % (1 << 64)))
-        rank = (weight << np.uint64(56)) | (own << np.uint64(48)) | (salted >> np.uint64(16))
+        rank = (high << np.uint64(56)) | (low << np.uint64(48)) | (salted >> np.uint64(16))
         by = np.lexsort((rank, self.row))
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
@@ -92,44 +92,50 @@ class Shingles:
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
-    """Class of every place of the count sketch: 0, or more the further its count lies above the usual."""
-    size = 1 << SKETCH_BITS
+    """Level of every place of the word sketch: 0 if its words occur once in all, 1 twice, and so on; above 16 by halves of
+    powers of two.  At most 63."""
+    part = (1 << SKETCH_BITS) // SLICES
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            counts += np.bincount((Shingles(batch.column(0)).key >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        parts = [pa.compress(p.astype("<u4").tobytes(), "zstd", asbytes=True) for p in np.split(counts, SLICES)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
+            data, offsets = utf8(batch.column(0))
+            at, n = np.unique(WordScan(data, offsets, lower=True).hash >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+            counts[at] += n.astype(np.uint32)
+        places, sums = [], []
+        for slice_ in np.split(counts, SLICES):
+            at = np.flatnonzero(slice_)
+            places.append(np.diff(at, prepend=0).astype("<u4").tobytes())
+            sums.append(slice_[at].astype("<u4").tobytes())
+        packed = [pa.array([pa.compress(x, "zstd", asbytes=True) for x in col], pa.binary()) for col in (places, sums)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([len(x) for x in sums], pa.int64()), *packed],
+                                         ["part", "size", "places", "sums"])
 
     def merge(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size // SLICES, np.int64)
+        total = np.zeros(part, np.int64)
         for table in tables:
-            for part in table.column("counts").to_pylist():
-                total += np.frombuffer(pa.decompress(part, 4 * len(total), "zstd"), "<u4")
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype("<i8").tobytes()], pa.binary())],
-                                         ["part", "counts"])
-
-    parts = (docs.mapInArrow(task, "part int, counts binary").groupBy("part")
-             .applyInArrow(merge, "part int, counts binary").collect())
-    counts = np.zeros((SLICES, size // SLICES), np.int64)
-    for part in parts:
-        counts[part["part"]] = np.frombuffer(part["counts"], "<i8")
-    counts = counts.ravel()
-    excess = counts - counts.mean()
-    heavy = excess > 8 * np.sqrt(counts.mean()) + 16
-    out = np.zeros(size, np.uint8)
-    out[heavy] = 1 + np.log2(excess[heavy]).astype(np.uint8)
-    return out
+            for size, places, sums in zip(*(table.column(c).to_pylist() for c in ("size", "places", "sums"))):
+                at = np.cumsum(np.frombuffer(pa.decompress(places, size, "zstd"), "<u4").astype(np.int64))
+                total[at] += np.frombuffer(pa.decompress(sums, size, "zstd"), "<u4")
+        few = np.maximum(total - 1, 0)
+        level = np.where(few < 16, few, np.minimum(8 + 2 * np.log2(np.maximum(few, 1)), 63)).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["part", "levels"])
+
+    parts = (docs.mapInArrow(task, "part int, size long, places binary, sums binary").groupBy("part")
+             .applyInArrow(merge, "part int, levels binary").collect())
+    out = np.zeros((SLICES, part), np.uint8)
+    for row in parts:
+        out[row["part"]] = np.frombuffer(row["levels"], np.uint8)
+    return out.ravel()
 
 
-def _keyed(docs: DataFrame, heavy) -> DataFrame:
-    """(doc_id, n, node, prefix): size, set key and order-1 prefix tokens of every document."""
+def _keyed(docs: DataFrame, levels) -> DataFrame:
+    """(doc_id, n, node, prefix): size, set key and order-1 prefix tokens of every document, but for tokens that only it has."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = Shingles(batch.column(0))
-            chosen = sets.prefix(0, heavy.value)
+            sets = Shingles(batch.column(0), levels.value)
+            chosen = sets.prefix(0) & (sets.least > 0)
             ends = np.concatenate([[0], np.cumsum(chosen)])[sets.first]
             prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sets.key[chosen].astype(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets.n), pa.array(sets.set_keys()), prefix],
@@ -138,24 +144,24 @@ def _keyed(docs: DataFrame, heavy) -> DataFrame:
     return docs.mapInArrow(task, "doc_id long, n long, node long, prefix array<long>")
 
 
-def _sets(docs: DataFrame, heavy, wanted) -> DataFrame:
+def _sets(docs: DataFrame, levels, wanted) -> DataFrame:
     """(node, shingles, orders): the sets of representatives in the filter, with each shingle's prefixes as bits."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).fill_null(0).to_numpy()
-            sets = Shingles(batch.column(0))
+            sets = Shingles(batch.column(0), levels.value)
             nodes = sets.set_keys()
             rows = np.flatnonzero((sets.n > 0) & in_filter(wanted.value, nodes ^ ids))
             flags = np.zeros(len(sets.key), np.uint8)
             for order in range(3):
-                flags |= sets.prefix(order, heavy.value).astype(np.uint8) << order
+                flags |= sets.prefix(order).astype(np.uint8) << order
             at = [(int(sets.first[r]), int(sets.first[r + 1])) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes[rows]), pa.array([sets.key[a:b].tobytes() for a, b in at], pa.binary()),
                  pa.array([flags[a:b].tobytes() for a, b in at], pa.binary())], ["node", "shingles", "orders"])
 
-    return docs.mapInArrow(task, "node long, shingles binary, orders binary").dropDuplicates(["node"])
+    return docs.mapInArrow(task, "node long, shingles binary, orders binary")
 
 
 def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray | None) -> list[tuple[int, int]]:
@@ -275,22 +281,26 @@ def _tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
 def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
-    batches_of(spark)
+    batches_of(spark, SET_ROWS)
     docs = docs.select(F.col(text_column).cast("string").alias("text"), F.col(id_column).cast("long").alias("doc_id"))
-    heavy = spark.sparkContext.broadcast(sketch(docs))
-    keyed = written(_keyed(docs, heavy), "sets")
+    levels = spark.sparkContext.broadcast(sketch(docs))
+    keyed = written(_keyed(docs, levels), "sets")
     nodes = keyed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
 
-    by_token = Window.partitionBy("token")
-    meet = (keyed.filter("n > 0").select("node", F.explode("prefix").alias("token"))
-            .withColumn("pivot", F.min("node").over(by_token)).withColumn("last", F.max("node").over(by_token))
+    # in a token's list, by size: a step beyond the similarity parts documents that cannot be linked across it
+    by_size = Window.partitionBy("token").orderBy("n")
+    step = (100 * F.lag("n").over(by_size) < PERCENT * F.col("n")).cast("int")
+    island = Window.partitionBy("token", "island")
+    meet = (keyed.filter("n > 0").select("node", "n", F.explode("prefix").alias("token"))
+            .withColumn("step", F.coalesce(step, F.lit(0)))
+            .withColumn("island", F.sum("step").over(by_size.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn("pivot", F.min("node").over(island)).withColumn("last", F.max("node").over(island))
             .filter(F.col("pivot") != F.col("last")).select("pivot", "node").distinct())
     members = written(meet.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("pivot"))), "members")
 
     met = members.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
     wanted = spark.sparkContext.broadcast(bit_filter(met, "node ^ rep", members.count()))
-    sets = written(_sets(docs, heavy, wanted), "shingles")
-    batches_of(spark, SET_ROWS)
+    sets = _sets(docs, levels, wanted)
 
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     first = members.select("pivot", "node", F.explode(F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), blocks - 1))
@@ -299,7 +309,10 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     links = written(_verified(first.join(sets, "node"), False), "links")
     labels = components(links)
     if not members.filter(F.col("m") > BLOCK).isEmpty():
-        more = written(_verified(_tiles(members, labels).join(sets, "node"), True), "links")
+        tiles = written(_tiles(members, labels), "tiles")
+        again = tiles.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
+        wanted = spark.sparkContext.broadcast(bit_filter(again, "node ^ rep", tiles.count()))
+        more = written(_verified(tiles.join(_sets(docs, levels, wanted), "node"), True), "links")
         labels = components(links.unionByName(more))
     batches_of(spark)
 
