@@ -12,6 +12,9 @@ from txrisk.llm import decontaminate, line_templates, ngram_join, packing, quali
 from txrisk.llm.common import scratch, table
 from txrisk.llm.queries import VOCABULARY
 
+#: Words of a shingle and least similarity in percent of the near-duplicate stage.
+WIDTH, PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside their language's perplexity bands."""
@@ -27,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; of repeated rows one stays."""
-    groups = ngram_join.join(docs)
+    """One document of each group of near duplicates (5-word shingles at 0.8), that with the smallest id; of repeated rows one stays."""
+    groups = ngram_join.join(docs, width=WIDTH, percent=PERCENT)
     keep = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id")
             .agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("kept_id"), "n"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))

@@ -83,3 +83,16 @@ def test_connected_components(spark, seed):
     got = {x.node: x.component for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: root(x) for x in linked}
+
+
+def test_width_and_percent(spark):
+    r = random.Random(9)
+    base = [f"{w}{k}" for k, w in enumerate(words(r, 1000).split())]
+    copy = ["edited" if k % 45 == 20 else w for k, w in enumerate(base)]
+    rows = [(1, " ".join(base), "en"), (2, " ".join(copy), "en"), (3, "one two three four", "en"), (4, "one two three four", "en")]
+    sets = [{tuple(x[i: i + 5]) for i in range(len(x) - 4)} for x in (base, copy)]
+    assert 80 * len(sets[0] | sets[1]) <= 100 * len(sets[0] & sets[1])
+    docs = frame(spark, rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs, width=5, percent=80).collect()} == {
+        1: (996, 1), 2: (996, 1), 3: (1, 3), 4: (1, 3)}
+    assert {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 3}

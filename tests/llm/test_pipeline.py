@@ -42,3 +42,10 @@ def test_run_on_an_empty_table(spark):
     for _, stage in p.STAGES:
         docs_out = stage(spark, docs, SF_SMALL)
         assert docs_out.count() == 0
+
+
+def test_near_copies_are_linked_by_five_words_at_four_fifths(spark):
+    base = [f"word{k}" for k in range(1000)]
+    copy = ["edited" if k % 45 == 20 else w for k, w in enumerate(base)]
+    docs = frame(spark, [(1, " ".join(base), "en"), (2, " ".join(copy), "en")])
+    assert [r.doc_id for r in p.ngram_jaccard(spark, docs, SF_SMALL).collect()] == [1]

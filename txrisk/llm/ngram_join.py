@@ -1,7 +1,7 @@
-"""N-gram Jaccard join with multiple global orders: all links of similarity 0.85, as components.
+"""N-gram Jaccard join with multiple global orders: all links of a wanted similarity, as components.
 
-A document's set holds its distinct 4-word shingles.  Two sets that are similar enough share a token among the first
-``n - ceil(0.85 n) + 1`` of each, under *every* global order of tokens.  Order 1 deals the work: documents meet under
+A document's set holds its distinct shingles of ``width`` words (4), and sets are linked from ``percent`` (85) on.  Two sets that are similar enough share a token among the first
+``n - ceil(percent n / 100) + 1`` of each, under *every* global order of tokens.  Order 1 deals the work: documents meet under
 the tokens of their prefix.  Where they meet, a pair must also share prefix tokens under orders 2 and 3 before its
 sets are compared exactly.
 
@@ -18,7 +18,7 @@ component are then compared with all other blocks; pairs inside that component n
 node throughout.  A hot list is thus cut into bounded tasks, and true copies cost time in proportion to their number.
 
 Defined results: null and empty texts, and texts without words, have empty sets and are linked with nothing, not even
-each other; a text with fewer than 4 words has its whole word sequence as one shingle; repeated rows share a node; null
+each other; a text with fewer than ``width`` words has its whole word sequence as one shingle; repeated rows share a node; null
 ids keep their row and never name a component; an empty table gives no rows; other columns are not read.  Tokens and set
 keys are 64-bit hashes of whole texts; a link would be wrong only by a collision of those.
 """
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, utf8, written
 from txrisk.llm.components import components
 
+#: Words of a shingle and least similarity in percent, if the caller gives none.
 WIDTH, PERCENT = 4, 85
 
 #: Rows in one Arrow batch, of documents and of sets.
@@ -49,19 +50,19 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 class Shingles:
     """The distinct shingles of every row of a column, by row, then hash; ``levels``: how frequent each sketch place is."""
 
-    def __init__(self, column: pa.Array, levels: np.ndarray):
+    def __init__(self, column: pa.Array, levels: np.ndarray, width: int, percent: int):
         data, offsets = utf8(column)
         scan = WordScan(data, offsets, lower=True)
         words = np.diff(scan.first)
         level = levels[scan.hash >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64)
         parts = []
-        for width in range(1, WIDTH + 1):
-            at, key = scan.windows(width)
-            if width < WIDTH:
-                short = words[scan.row[at]] == width
+        for size in range(1, width + 1):
+            at, key = scan.windows(size)
+            if size < width:
+                short = words[scan.row[at]] == size
                 at, key = at[short], key[short]
             total, least = level[at], level[at]
-            for k in range(1, width):
+            for k in range(1, size):
                 total = total + level[at + k]
                 least = np.minimum(least, level[at + k])
             parts.append((scan.row[at], key, np.minimum(total, np.uint64(255)), least))
@@ -72,7 +73,7 @@ class Shingles:
         new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
         self.row, self.key, self.total, self.least = row[new], key[new], total[by][new], least[by][new]
         self.first = np.searchsorted(self.row, np.arange(len(offsets)))
-        self.n = np.diff(self.first)
+        self.n, self.percent = np.diff(self.first), percent
 
     def set_keys(self) -> np.ndarray:
         """A hash of each row's set."""
@@ -87,7 +88,7 @@ class Shingles:
         by = np.lexsort((rank, self.row))
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
-        length = self.n - (PERCENT * self.n + 99) // 100 + 1
+        length = self.n - (self.percent * self.n + 99) // 100 + 1
         return place - self.first[self.row] < length[self.row]
 
 
@@ -129,12 +130,12 @@ def sketch(docs: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _keyed(docs: DataFrame, levels) -> DataFrame:
+def _keyed(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
     """(doc_id, n, node, prefix): size, set key and order-1 prefix tokens of every document, but for tokens that only it has."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = Shingles(batch.column(0), levels.value)
+            sets = Shingles(batch.column(0), levels.value, width, percent)
             chosen = sets.prefix(0) & (sets.least > 0)
             ends = np.concatenate([[0], np.cumsum(chosen)])[sets.first]
             prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sets.key[chosen].astype(np.int64)))
@@ -144,13 +145,13 @@ def _keyed(docs: DataFrame, levels) -> DataFrame:
     return docs.mapInArrow(task, "doc_id long, n long, node long, prefix array<long>")
 
 
-def _sets(docs: DataFrame, levels, wanted) -> DataFrame:
+def _sets(docs: DataFrame, levels, wanted, width: int, percent: int) -> DataFrame:
     """(node, shingles, orders): the sets of representatives in the filter, with each shingle's prefixes as bits."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).fill_null(0).to_numpy()
-            sets = Shingles(batch.column(0), levels.value)
+            sets = Shingles(batch.column(0), levels.value, width, percent)
             nodes = sets.set_keys()
             rows = np.flatnonzero((sets.n > 0) & in_filter(wanted.value, nodes ^ ids))
             flags = np.zeros(len(sets.key), np.uint8)
@@ -164,7 +165,7 @@ def _sets(docs: DataFrame, levels, wanted) -> DataFrame:
     return docs.mapInArrow(task, "node long, shingles binary, orders binary")
 
 
-def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray | None) -> list[tuple[int, int]]:
+def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray | None, percent: int = PERCENT) -> list[tuple[int, int]]:
     """A spanning forest of the links between sets; ``cross`` says which side each is on, to compare only across."""
     d = len(keys)
     n = np.array([len(k) for k in keys])
@@ -180,7 +181,7 @@ def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray |
     column = (np.cumsum(shared) - 1)[column[inside]]
     width = int(shared.sum())
     large, small = np.maximum(n[:, None], n), np.minimum(n[:, None], n)
-    may = np.triu(100 * small >= PERCENT * large, 1)
+    may = np.triu(100 * small >= percent * large, 1)
     if cross is not None:
         may &= cross[:, None] != cross
 
@@ -204,7 +205,7 @@ def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray |
     if not may.any():
         return []
     both = common(np.ones(len(row), bool)).astype(np.int64)
-    link = may & (100 * both >= PERCENT * (n[:, None] + n - both))
+    link = may & (100 * both >= percent * (n[:, None] + n - both))
     parent = list(range(d))
 
     def root(a: int) -> int:
@@ -222,7 +223,7 @@ def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray |
     return out
 
 
-def _verified(rows: DataFrame, across: bool) -> DataFrame:
+def _verified(rows: DataFrame, across: bool, percent: int) -> DataFrame:
     """Links (a, b) inside every group ``pivot, tile`` of rows (pivot, tile, side, node, shingles, orders)."""
 
     def group(held: list[dict]) -> list[tuple[int, int]]:
@@ -232,7 +233,7 @@ def _verified(rows: DataFrame, across: bool) -> DataFrame:
         keys = [np.frombuffer(r["shingles"], np.uint64) for r in held]
         flags = [np.frombuffer(r["orders"], np.uint8) for r in held]
         side = np.array([r["side"] for r in held]) if across and len({r["side"] for r in held}) > 1 else None
-        return [(held[a]["node"], held[b]["node"]) for a, b in linked(keys, flags, side)]
+        return [(held[a]["node"], held[b]["node"]) for a, b in linked(keys, flags, side, percent)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -278,18 +279,18 @@ def _tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
     return laid.select("pivot", "node", F.inline(F.when(F.col("inner"), inner).otherwise(rest)))
 
 
-def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document, by shingles of ``width`` words at ``percent`` similarity."""
     spark = docs.sparkSession
     batches_of(spark, SET_ROWS)
     docs = docs.select(F.col(text_column).cast("string").alias("text"), F.col(id_column).cast("long").alias("doc_id"))
     levels = spark.sparkContext.broadcast(sketch(docs))
-    keyed = written(_keyed(docs, levels), "sets")
+    keyed = written(_keyed(docs, levels, width, percent), "sets")
     nodes = keyed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
 
     # in a token's list, by size: a step beyond the similarity parts documents that cannot be linked across it
     by_size = Window.partitionBy("token").orderBy("n")
-    step = (100 * F.lag("n").over(by_size) < PERCENT * F.col("n")).cast("int")
+    step = (100 * F.lag("n").over(by_size) < percent * F.col("n")).cast("int")
     island = Window.partitionBy("token", "island")
     meet = (keyed.filter("n > 0").select("node", "n", F.explode("prefix").alias("token"))
             .withColumn("step", F.coalesce(step, F.lit(0)))
@@ -300,19 +301,19 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
     met = members.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
     wanted = spark.sparkContext.broadcast(bit_filter(met, "node ^ rep", members.count()))
-    sets = _sets(docs, levels, wanted)
+    sets = _sets(docs, levels, wanted, width, percent)
 
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     first = members.select("pivot", "node", F.explode(F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), blocks - 1))
                                                       .otherwise(F.array(F.pmod(F.xxhash64("node"), blocks).cast("int")))).alias("block"))
     first = first.select("pivot", "node", F.col("block").cast("string").alias("tile"), F.lit(0).alias("side"))
-    links = written(_verified(first.join(sets, "node"), False), "links")
+    links = written(_verified(first.join(sets, "node"), False, percent), "links")
     labels = components(links)
     if not members.filter(F.col("m") > BLOCK).isEmpty():
         tiles = written(_tiles(members, labels), "tiles")
         again = tiles.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
         wanted = spark.sparkContext.broadcast(bit_filter(again, "node ^ rep", tiles.count()))
-        more = written(_verified(tiles.join(_sets(docs, levels, wanted), "node"), True), "links")
+        more = written(_verified(tiles.join(_sets(docs, levels, wanted, width, percent), "node"), True, percent), "links")
         labels = components(links.unionByName(more))
     batches_of(spark)
 
