@@ -96,3 +96,46 @@ def test_counts_are_those_of_all_texts(spark):
     got = {(r.slot, r.code): r.n for r in quality.count_grams(frame(spark, rows)).collect()}
     code = 1 << 15 | 2 << 10 | 3 << 5 | 4
     assert got[1, code] == 2 and got[3, code] == 1 and got[len(quality.LANGUAGES), code] == 1 and sum(got.values()) == 5
+
+
+def test_character_model_equals_the_definition(spark):
+    import random
+    r = random.Random(6)
+    texts = {"ru": ["".join(r.choice("абвгд ж") for _ in range(60)) for _ in range(8)], None: ["日本語日本日語本日本語", "日本語日本本本"]}
+    rows = [(100 * k + i, t, lang) for k, (lang, of) in enumerate(texts.items()) for i, t in enumerate(of)]
+    docs = frame(spark, rows)
+    none = quality.KneserNey(quality.count_grams(docs).toPandas())
+    want = {}
+    for lang, of in texts.items():
+        grams = Counter(tuple(t[i: i + 4]) for t in of for i in range(len(t) - 3))
+        p = brute_kneser_ney(grams, 4, len({g[3] for g in grams}) + 1)
+        for k, t, x in rows:
+            if x == lang:
+                want[k] = -np.mean([np.log(p(tuple(t[i: i + 4]))) for i in range(len(t) - 3)])
+    for most in (10 ** 6, 0):  # sent to the tasks, and joined
+        got = {x.row.doc_id: x.char_score for x in quality.scored(docs, none, ["doc_id"], most).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_joined_scores_equal_those_of_the_sent_model(spark):
+    docs = frame(spark, documents() + [(500, "abcd", None), (501, None, "abcd"), (502, "abc", "en")])
+    model = quality.KneserNey(quality.count_grams(docs).toPandas())
+    a, b = (sorted(((str(x.row), x.char_score) for x in quality.scored(docs, model, ["doc_id", "text"], most).collect()), key=str) for most in (10 ** 6, 0))
+    assert [x for x, _ in a] == [x for x, _ in b]
+    assert all((x is None) == (y is None) and (x is None or abs(x - y) < 1e-9) for (_, x), (_, y) in zip(a, b))
+
+
+def test_other_scripts_and_small_languages_are_judged(spark):
+    import random
+    r = random.Random(7)
+
+    def prose(words, n):
+        return " ".join(r.choice(words) for _ in range(n))
+
+    cyrillic = "дом река камень сад свет вода дорога окно стена лес поле город".split()
+    greek = "σπίτι ποτάμι πέτρα κήπος φως νερό δρόμος παράθυρο τοίχος δάσος πεδίο πόλη".split()
+    rows = [(i, prose(cyrillic, 120), "ru") for i in range(200)] + [(1000 + i, prose(greek, 120), "el") for i in range(40)]
+    rows += [(2000, "".join(r.choice("щъэюфцчшжыё ") for _ in range(900)), "ru"), (2001, "".join(r.choice("αβγδζηθξψω ") for _ in range(900)), "el")]
+    kept = {x.row.doc_id: x.kept for x in quality.judge(frame(spark, rows), ["doc_id"]).collect()}
+    assert not kept.pop(2000) and not kept.pop(2001)
+    assert all(kept.values())

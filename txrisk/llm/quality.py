@@ -1,17 +1,18 @@
 """Quality rules with n-gram perplexity.
 
-Spark counts character 4-grams over all texts, by language.  A modified Kneser-Ney model of orders 1 to 4 is built
-from the counts and kept as sorted arrays of n-gram hashes with interpolated probabilities beside them and, for
-contexts, back-off weights.  A text's score is its mean negative log-probability per character.  Each language has a
-lower and an upper band around the median of all texts that pass the base rules; texts outside are rejected.
-
-Characters fall into 32 classes (letters without case and accents, digit, space, kinds of mark), so a language has at
-most 32**4 n-grams however large the corpus: that bound, times the languages plus one, is what is sent to executors.
-Words would not do: their n-grams grow without end, and most words of a web corpus are rare.
-
-Defined results: null text is empty, has no words and fails the base rules; a text without a score (under 4 characters,
-or of a table without n-grams) is judged by the base rules alone; a null or unknown language shares one model;
-repeated rows are judged alike; an empty table gives no rows.
+A text has two scores, both its mean negative log-probability per character under modified Kneser-Ney models:
+
+* ``score`` is over 32 folded classes (letters without case and accents, digit, space, kinds of mark).  It tells marks and
+  letter salad from prose.  The folded models are of fixed size, for four languages and one for all others.
+* ``char_score`` is over unfolded characters (``char_model``), with a model for each value of ``lang`` that grows with the
+  corpus.  It judges every script and every language by itself.
+
+Each value of ``lang`` has a lower and an upper band for both, around the median of its texts that pass the base rules; a
+text outside one of them is rejected.
+
+Defined results: null text is empty, has no words and fails the base rules; a text without a score (under 4 characters)
+is judged by the base rules alone; texts without a language are a language; repeated rows are judged alike; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from txrisk.llm import char_model
 from txrisk.llm.common import SPACE, WordScan, batches_of, mix, utf8, written
 
-#: Languages with a model of their own; all others share the last one.
+#: Languages with a class model of their own; all others share the last one.
 LANGUAGES = ("de", "en", "es", "fr")
 
 ORDER, BITS = 4, 5
@@ -219,15 +221,21 @@ def base_rules(data: np.ndarray, offsets: np.ndarray, scan: WordScan) -> dict[st
             "n_repeat_words": np.bincount(scan.row[covered[: len(scan.hash)]], minlength=rows)}
 
 
-STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
+STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double, char_score double"
 
 
-def scored(docs: DataFrame, model: KneserNey, keep: list[str]) -> DataFrame:
-    """``row`` (a struct of the columns ``keep``), the language, the counts of the base rules and the model's score."""
+def scored(docs: DataFrame, model: KneserNey, keep: list[str], most: int | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``keep``), the language, the counts of the base rules and both scores.
+
+    ``model`` is that of the classes; ``most``: 4-grams of a character model that is sent to tasks; a larger one is joined.
+    """
     spark = docs.sparkSession
+    text, lang = F.col("text").cast("string"), F.col("lang").cast("string")
+    text_key = F.xxhash64(F.coalesce(text, F.lit("")), text.isNull(), F.coalesce(lang, F.lit("")), lang.isNull())
     sent = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
-                       F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"))
+    chars = char_model.model(docs)
+    chars_sent = char_model.sent(chars, most)
+    rows = docs.select(text.alias("text"), lang.alias("lang"), text_key.alias("text_key"), F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,50 +250,56 @@ def scored(docs: DataFrame, model: KneserNey, keep: list[str]) -> DataFrame:
             size = np.bincount(row, minlength=batch.num_rows)
             total = np.bincount(row, value, minlength=batch.num_rows)
             score = pa.array(-total / np.maximum(size, 1), mask=size == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), *(pa.array(c.astype(np.int64)) for c in counts.values()), score],
-                                             ["row", "lang", *counts, "score"])
+            if chars_sent is None:
+                char_score = pa.nulls(batch.num_rows, pa.float64())
+            else:
+                char_score = char_model.means(char_model.Grams(batch.column(0), batch.column(1)), chars_sent.value, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(1), batch.column(2),
+                                              *(pa.array(c.astype(np.int64)) for c in counts.values()), score, char_score],
+                                             ["row", "lang", "text_key", *counts, "score", "char_score"])
 
     batches_of(spark)
-    return rows.mapInArrow(task, f"row {rows.schema['row'].dataType.simpleString()}, lang string, {STATS}")
+    stats = rows.mapInArrow(task, f"row {rows.schema['row'].dataType.simpleString()}, lang string, text_key long, {STATS}")
+    if chars_sent is None:
+        stats = stats.drop("char_score").join(char_model.joined_means(rows, chars), "text_key", "left")
+    return stats.drop("text_key")
 
 
 def base_failed() -> F.Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def slot_column() -> F.Column:
-    return F.coalesce(*(F.when(F.col("lang") == name, k) for k, name in enumerate(LANGUAGES)), F.lit(len(LANGUAGES)))
-
-
 #: Quartile distances that a score may lie below and above the median, and the least quartile distance (nats).
 BELOW, ABOVE, LEAST = 5.0, 8.0, 0.02
 
 
-def bands(stats: DataFrame, below: float = BELOW, above: float = ABOVE, least: float = LEAST) -> dict[int, tuple[float, float]]:
-    """Lower and upper score by model, from the quartiles of all texts that pass the base rules.
+SCORES = ("score", "char_score")
 
-    At most one row per model comes to the driver.
-    """
-    rows = (stats.filter(~base_failed() & F.col("score").isNotNull()).groupBy(slot_column().alias("slot"))
-            .agg(F.percentile_approx("score", [0.25, 0.5, 0.75], 100_000).alias("q")).collect())
-    out = {}
-    for slot, (first, middle, third) in ((r["slot"], r["q"]) for r in rows):
-        spread = max(third - first, least)
-        out[slot] = (middle - below * spread, middle + above * spread)
-    return out
+
+def bands(stats: DataFrame, below: float = BELOW, above: float = ABOVE, least: float = LEAST) -> DataFrame:
+    """(of, score_low, score_high, char_score_low, ...): the bands of each language, from its texts that pass the base rules."""
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 100_000).alias(c) for c in SCORES]
+    rows = stats.filter(~base_failed()).groupBy(F.col("lang").alias("of")).agg(*quartiles)
+
+    def limit(c: str, distances: float) -> F.Column:
+        q = F.col(c)
+        return F.get(q, 1) + distances * F.greatest(F.get(q, 2) - F.get(q, 0), F.lit(least))
+
+    return rows.select("of", *(limit(c, d).alias(f"{c}_{name}") for c in SCORES for name, d in (("low", -below), ("high", above))))
 
 
-def judged(stats: DataFrame, limits: dict[int, tuple[float, float]]) -> DataFrame:
+def judged(stats: DataFrame, limits: DataFrame) -> DataFrame:
     """Adds ``base_failed`` and ``kept``."""
+    joined = stats.join(F.broadcast(limits), F.col("lang").eqNullSafe(F.col("of")), "left")
     inside = F.lit(True)
-    for slot, (low, high) in limits.items():
-        inside = F.when(slot_column() == slot, F.col("score").between(low, high)).otherwise(inside)
-    return (stats.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))))
+    for c in SCORES:
+        inside = inside & F.coalesce(F.col(c).between(F.col(f"{c}_low"), F.col(f"{c}_high")), F.lit(True))
+    return (joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside)
+            .drop(*limits.columns))
 
 
 def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``row`` (the columns ``keep``), the base counts, ``score``, ``base_failed`` and ``kept`` of every row of ``docs``."""
+    """``row`` (the columns ``keep``), the base counts, both scores, ``base_failed`` and ``kept`` of every row of ``docs``."""
     model = KneserNey(count_grams(docs).toPandas())
     stats = written(scored(docs, model, keep), "quality")
     return judged(stats, bands(stats))
