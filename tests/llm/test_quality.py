@@ -4,8 +4,10 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
+from tests.conftest import SF_MID
 from tests.llm.helpers import documents, frame
 from txrisk.llm import quality
+from txrisk.llm.common import table
 
 
 def brute_rules(text):
@@ -139,3 +141,19 @@ def test_other_scripts_and_small_languages_are_judged(spark):
     kept = {x.row.doc_id: x.kept for x in quality.judge(frame(spark, rows), ["doc_id"]).collect()}
     assert not kept.pop(2000) and not kept.pop(2001)
     assert all(kept.values())
+
+
+def test_tables_and_marked_words_are_rejected_and_good_texts_kept(spark):
+    docs = table(spark, SF_MID, "documents")
+    label = {r.doc_id: r.quality for r in table(spark, SF_MID, "labels").collect()}
+    kept = {"table": [], "marked": [], "good": []}
+    for r in quality.judge(docs, ["doc_id", "text"]).filter("NOT base_failed").collect():
+        if label.get(r.row.doc_id) == 1:
+            kept["good"].append(r.kept)
+        elif label.get(r.row.doc_id) == 0:
+            for kind, mark in (("table", " | "), ("marked", "$$$")):
+                if r.row.text.count(mark) >= 5:
+                    kept[kind].append(r.kept)
+    assert len(kept["good"]) > 200 and np.mean(kept["good"]) > 0.95
+    for kind in ("table", "marked"):
+        assert len(kept[kind]) >= 3 and np.mean(kept[kind]) < 0.5, (kind, kept[kind])

@@ -270,7 +270,7 @@ def base_failed() -> F.Column:
 
 
 #: Quartile distances that a score may lie below and above the median, and the least quartile distance (nats).
-BELOW, ABOVE, LEAST = 5.0, 8.0, 0.02
+BELOW, ABOVE, LEAST = 3.0, 3.0, 0.02
 
 
 SCORES = ("score", "char_score")
