@@ -12,6 +12,9 @@ from txrisk.llm import decontaminate, line_templates, ngram_join, packing, quali
 from txrisk.llm.common import scratch, table
 from txrisk.llm.queries import VOCABULARY
 
+#: Words of a line that recurs from two documents on.
+PASSAGE = 50
+
 #: Words of a shingle and least similarity in percent of the near-duplicate stage.
 WIDTH, PERCENT = 5, 80
 
@@ -22,8 +25,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines of recurring templates, each of which stays in one document; texts left blank go."""
-    found = line_templates.dedup(docs).filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Texts without the lines of recurring templates, each of which stays in one document; texts left blank go.
+
+    A line of ``PASSAGE`` words recurs from two documents on; a token stays by documents alone, not by its part of the leaf.
+    """
+    found = line_templates.dedup(docs, part=0.0, passage=PASSAGE).filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") == 0, F.col("row.n_chars")).otherwise(F.length("text"))}
     return found.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"row.`{c}`").alias(c)
                           for c in docs.columns))

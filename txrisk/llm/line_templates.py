@@ -5,7 +5,8 @@ number of tokens and the same three leading tokens share a leaf.  In a leaf, a t
 ``min_docs`` lines have it there and they are at least ``part`` of the leaf; all other places become variable.  Lines
 that agree in what stays share a template.  A template recurs if lines of at least ``min_docs`` documents have it and at
 least ``share`` of its places stay.  A line under 6 tokens, or one that itself stands in ``min_docs`` documents, is its
-own template.  Lines of recurring templates are dropped from all documents but that with the smallest id among the
+own template.  A caller may let exact lines of ``passage`` words and more recur from ``passage_docs`` documents on.
+Lines of recurring templates are dropped from all documents but that with the smallest id among the
 template's; lines under 3 tokens are left alone.
 
 Spark counts (leaf, line) pairs, as hashes, once for each document; only lines in leaves with enough documents are
@@ -97,7 +98,7 @@ def _tokens(docs: DataFrame, wanted) -> DataFrame:
     return docs.select("text").mapInArrow(task, "key long, tokens array<long>").dropDuplicates(["key"])
 
 
-def _recurring(docs: DataFrame, min_docs: int, part: float, share: float) -> DataFrame:
+def _recurring(docs: DataFrame, min_docs: int, part: float, share: float, passage: int | None, passage_docs: int) -> DataFrame:
     """(key, first): the lines of recurring templates, and the document that keeps them."""
     spark = docs.sparkSession
     counted = written(_counted(docs), "lines")
@@ -117,7 +118,10 @@ def _recurring(docs: DataFrame, min_docs: int, part: float, share: float) -> Dat
               .filter(F.col("fixed") >= share * F.col("size")).withColumn("template", F.xxhash64("leaf", "shape", "fixed")))
     templates = shaped.groupBy("template").agg(F.sum("n").alias("docs"), F.min("first").alias("keeper")).filter(F.col("docs") >= min_docs)
     by_template = shaped.join(templates, "template").select("key", F.col("keeper").alias("first"))
-    by_itself = counted.filter(F.col("n") >= min_docs).select("key", "first")
+    often = F.col("n") >= min_docs
+    if passage is not None:
+        often = often | ((F.col("size") >= passage) & (F.col("n") >= passage_docs))
+    by_itself = counted.filter(often).select("key", "first")
     return by_template.unionByName(by_itself).groupBy("key").agg(F.min("first").alias("first"))
 
 
@@ -136,13 +140,13 @@ def _lost(docs: DataFrame, wanted) -> DataFrame:
 
 
 def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, part: float = PART, share: float = SHARE,
-          id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+          id_column: str = "doc_id", text_column: str = "text", passage: int | None = None, passage_docs: int = 2) -> DataFrame:
     """(row, text, n_lines, n_dropped): a struct of the document's columns, its text without dropped lines, and counts."""
     spark = docs.sparkSession
     batches_of(spark)
     text, doc_id = F.col(text_column).cast("string"), F.col(id_column).cast("long")
     small = docs.select(text.alias("text"), doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("row_key"))
-    recurring = written(_recurring(small, min_docs, part, share), "recurring")
+    recurring = written(_recurring(small, min_docs, part, share, passage, passage_docs), "recurring")
     bits = spark.sparkContext.broadcast(bit_filter(recurring, "key", recurring.count()))
     lost = (_lost(small, bits).join(recurring, "key").filter(~F.col("doc_id").eqNullSafe(F.col("first")))
             .groupBy("row_key").agg(F.collect_set("number").alias("dropped")))
