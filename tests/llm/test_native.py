@@ -104,3 +104,12 @@ def test_templates_themselves_are_recognised(spark, licence_model):
 def test_training_on_an_empty_table(spark):
     weights, intercepts, threshold = licences.train(frame(spark, []))
     assert len(weights) == len(licences.FAMILIES) + 1 and threshold >= 0.5
+
+
+def test_short_notices_inside_prose_are_named(spark, licence_model):
+    lines = {"MIT": "This project is released under the MIT License, see the LICENSE file in the root folder for details.",
+             "BSD": "All code here was written at home and is released under the BSD 3-Clause License as stated in the file beside it.",
+             "": "The work was released under the old law and the public may read the general terms in the file beside it."}
+    docs = frame(spark, [(i, t, "en") for i, t in enumerate(lines.values())])
+    got = {r.doc_id: [x.family for x in r.licences] for r in licences.scan(docs, licence_model).collect()}
+    assert got == {i: [f] if f else [] for i, f in enumerate(lines)}
