@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -58,6 +59,22 @@ def batches_of(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: Bytes of one column that ``slices_by_bytes`` lets into one batch.
+SLICE_BYTES = 2 << 20
+
+
+def slices_by_bytes(batches: Iterator[pa.RecordBatch], text_at: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the column ``text_at`` has at most ``most`` bytes in each; a longer text stands alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, at = np.cumsum(sizes), 0
+        while at < len(sizes):
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI (``file:``, ``hdfs:``, ``s3:``, ``gs:`` or a bare absolute path)."""
     if uri.startswith("/"):

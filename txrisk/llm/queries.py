@@ -7,13 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import archives, decontaminate, licences, line_templates, ngram_join, packing, quality, secrets, token_files, url_filter
+from txrisk.llm import archives, decontaminate, fill_in_middle, licences, line_templates, ngram_join, packing, quality, secrets, token_files, url_filter, wavelet
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_OF_TEXT = 49407
 
+#: Vocabulary of operator 13.
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, by separator scan over flat token files: doc_id, n_tokens."""
@@ -73,6 +76,18 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as fill-in-the-middle text: units, form, piece lengths, digests of the output and of the text rebuilt from it."""
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents in wavelet files, read back: doc_id, start, n_tokens, ids_crc32."""
+    return wavelet.read_documents(wavelet.write_shards(table(spark, sf_dir, "documents"), BYTE_VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_licence_scan": op2_licence_scan,
@@ -84,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_regression": op8_url_regression,
     "op9_zip_archives": op9_zip_archives,
     "op10_ngram_perplexity": op10_ngram_perplexity,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_wavelet_files": op13_wavelet_files,
 }
 
 _SHA1_BASE32 = """
@@ -129,4 +146,23 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id = min(page_id) OVER (PARTITION BY h) THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> min(page_id) OVER (PARTITION BY h) THEN min(page_id) OVER (PARTITION BY h) END AS refers_to
         FROM p""",
+    "op12_fill_in_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        u AS (
+            SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+                   ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+            FROM d),
+        c AS (
+            SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM u),
+        p AS (
+            SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix
+            FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+        FROM p""",
 }
