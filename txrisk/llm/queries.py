@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm import archives, decontaminate, fill_in_middle, licences, line_templates, ngram_join, packing, quality, secrets, token_files, url_filter, wavelet
+from txrisk.llm import archives, conversations, decontaminate, fill_in_middle, licences, line_templates, ngram_join, packing, quality, secrets, token_files, url_filter, wavelet
 from txrisk.llm.common import table
 
 #: Vocabulary of operators 1 and 5, and its end-of-document id.
@@ -76,6 +76,12 @@ def op10_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op11_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations repaired by the cheapest edits: faults, cost, edits, digest of the repaired turns."""
+    given = table(spark, sf_dir, "conversations")
+    return conversations.report(given, conversations.damage(conversations.turns_of(given)))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as fill-in-the-middle text: units, form, piece lengths, digests of the output and of the text rebuilt from it."""
     made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_regression": op8_url_regression,
     "op9_zip_archives": op9_zip_archives,
     "op10_ngram_perplexity": op10_ngram_perplexity,
+    "op11_suffix_automaton": op11_suffix_automaton,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_wavelet_files": op13_wavelet_files,
 }
@@ -146,6 +153,66 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id = min(page_id) OVER (PARTITION BY h) THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> min(page_id) OVER (PARTITION BY h) THEN min(page_id) OVER (PARTITION BY h) END AS refers_to
         FROM p""",
+    "op11_suffix_automaton": """
+        WITH RECURSIVE lots AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+                lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                                           lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295::BIGINT) % 20 AS lot
+            FROM conversations),
+        rows AS (
+            SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+                   CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM lots WHERE lot <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM rows),
+        faults AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                           WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault,
+                   role[1:1] AS initial, lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed),
+        own AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faults GROUP BY conv_id),
+        cheapest AS (
+            SELECT conv_id, n + 1 AS i, 0::BIGINT AS c0, 6::BIGINT AS c1, 3::BIGINT AS c2, 0::BIGINT AS c3, '' AS p0, 'ua' AS p1, 'a' AS p2, '' AS p3 FROM own
+            UNION ALL
+            SELECT conv_id, i, v0, v1, v2, v3,
+                   CASE WHEN v0 = d0 OR v0 <> 3 + v2 THEN q0 WHEN v2 = d2 OR v2 <> 3 + v3 THEN 'u' || q2 ELSE 'ua' || q3 END,
+                   CASE WHEN v1 = d1 OR v1 <> 3 + v2 THEN q1 WHEN v2 = d2 OR v2 <> 3 + v3 THEN 'u' || q2 ELSE 'ua' || q3 END,
+                   CASE WHEN v2 = d2 OR v2 <> 3 + v3 THEN q2 ELSE 'a' || q3 END, CASE WHEN v3 = d3 OR v3 <> 3 + v2 THEN q3 ELSE 'u' || q2 END
+            FROM (
+                SELECT *, least(b0, 3 + b2, 6 + b3) AS v0, least(b1, 3 + b2, 6 + b3) AS v1, least(b2, 3 + b3) AS v2, least(b3, 3 + b2) AS v3
+                FROM (
+                    SELECT *, least(d0, k0, r0) AS b0, least(d1, k1, r1) AS b1, least(d2, k2, r2) AS b2, least(d3, k3, r3) AS b3,
+                           CASE WHEN d0 <= least(k0, r0) THEN 'D' || p0 WHEN k0 <= r0 THEN 'K' || CASE initial WHEN 's' THEN p1 ELSE p2 END ELSE 'U' || p2 END AS q0,
+                           CASE WHEN d1 <= least(k1, r1) THEN 'D' || p1 WHEN k1 <= r1 THEN 'K' || p2 ELSE 'U' || p2 END AS q1,
+                           CASE WHEN d2 <= least(k2, r2) THEN 'D' || p2 WHEN k2 <= r2 THEN 'K' || p3 ELSE 'A' || p3 END AS q2,
+                           CASE WHEN d3 <= least(k3, r3) THEN 'D' || p3 WHEN k3 <= r3 THEN 'K' || p2 ELSE 'U' || p2 END AS q3
+                    FROM (
+                        SELECT f.conv_id, f.i, f.initial, c.p0, c.p1, c.p2, c.p3, 4 + c0 AS d0, 4 + c1 AS d1, 4 + c2 AS d2, 4 + c3 AS d3,
+                               e + 3 + c2 AS r0, e + 3 + c2 AS r1, e + 3 + c3 AS r2, e + 3 + c2 AS r3,
+                               e + CASE f.initial WHEN 's' THEN c1 WHEN 'u' THEN c2 ELSE 1000000000 END AS k0, e + CASE f.initial WHEN 'u' THEN c2 ELSE 1000000000 END AS k1,
+                               e + CASE f.initial WHEN 'a' THEN c3 ELSE 1000000000 END AS k2, e + CASE f.initial WHEN 'u' THEN c2 ELSE 1000000000 END AS k3
+                        FROM cheapest c
+                        JOIN (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 3 ELSE 0 END AS e FROM faults) f
+                          ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.i = c.i - 1)))),
+        plans AS (SELECT conv_id, c0 AS cost, p0 AS plan FROM cheapest WHERE i = 1),
+        edits AS (SELECT conv_id, plan, unnest(range(length(plan))) AS j FROM plans),
+        signs AS (SELECT conv_id, j, plan[j + 1:j + 1] AS sign, length(regexp_replace(plan[1:j], '[ua]', '', 'g')) + 1 AS i FROM edits),
+        lines AS (
+            SELECT s.conv_id, s.j, CASE lower(s.sign) WHEN 'u' THEN 'user' WHEN 'a' THEN 'assistant' ELSE f.role END || ':'
+                                   || CASE WHEN s.sign IN ('u', 'a') THEN '' ELSE f.text END AS line
+            FROM signs s LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i WHERE s.sign <> 'D'),
+        joined AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY j) AS content FROM lines GROUP BY conv_id)
+        SELECT a.conv_id, coalesce(o.gaps, 0) AS gaps, coalesce(o.blank, 0) AS blank, coalesce(o.duplicate, 0) AS duplicate, coalesce(o.truncated, 0) AS truncated,
+               coalesce(o.illegal, 0) AS illegal, coalesce(p.cost, 0) AS cost, coalesce(translate(p.plan, 'uaUA', 'IIRR'), '') AS audit,
+               sha256(coalesce(j.content, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN own o ON o.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN plans p ON p.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM a.conv_id""",
     "op12_fill_in_middle": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
         u AS (
