@@ -179,15 +179,16 @@ def validate(messages: DataFrame, value_col: str = "value") -> DataFrame:
                     *[F.col(f"_v_{n}") for n in RULE_FIELDS],
                     *[F.schema_of_variant(f"_v_{n}").alias(f"_t_{n}") for n in RULE_FIELDS])
             .select(*keep, "_tomb", "payload", "_obj", bits.alias("_bits"))
-            .select(*keep, "payload",
-                    F.when(F.col("_tomb"), F.lit(None).cast("string"))
-                     .when(F.col("payload").isNull(), F.lit(MALFORMED_REASON))
-                     .when(~F.col("_obj"), F.lit(S.MSG_NOT_OBJECT))
-                     .when(F.col("_bits") != 0, reasons).alias("error_reason"),
-                    F.when(F.col("_tomb"), F.lit(STATUS_TOMBSTONE))
-                     .when(F.col("payload").isNull(), F.lit(STATUS_MALFORMED))
-                     .when(~F.col("_obj") | (F.col("_bits") != 0), F.lit(STATUS_INVALID))
-                     .otherwise(F.lit(STATUS_VALID)).alias("status")))
+            .select(*keep, F.inline(F.array(F.struct(
+                F.col("payload"),
+                F.when(F.col("_tomb"), F.lit(None).cast("string"))
+                 .when(F.col("payload").isNull(), F.lit(MALFORMED_REASON))
+                 .when(~F.col("_obj"), F.lit(S.MSG_NOT_OBJECT))
+                 .when(F.col("_bits") != 0, reasons).alias("error_reason"),
+                F.when(F.col("_tomb"), F.lit(STATUS_TOMBSTONE))
+                 .when(F.col("payload").isNull(), F.lit(STATUS_MALFORMED))
+                 .when(~F.col("_obj") | (F.col("_bits") != 0), F.lit(STATUS_INVALID))
+                 .otherwise(F.lit(STATUS_VALID)).alias("status"))))))
 
 
 def typed_transactions(validated: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from txrisk.functions.rules import with_quality_flags
 from txrisk.ml import metrics as M
 from txrisk.ml import prep
 from txrisk.operators import incremental, ingest, insights, marts, process, quality
+from txrisk.plans import fitted
 from txrisk.sources import zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,4 +304,5 @@ QUERIES: dict[str, Query] = {
     "landing_scan": q_landing_scan,
     "streamed_landing": q_streamed_landing,
     "stream_window_counts": q_stream_window_counts,
+    **fitted.QUERIES,
 }
