@@ -140,7 +140,7 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- wire messages -------------------------------------------------------------
 # One JSON message per txn row; the row's fault code ``k % 50`` injects one kind
 # of defect so every validator rule and routing branch is exercised.  Codes not
-# listed below (38..49) are untouched valid messages.
+# listed below (43..49) are untouched valid messages.
 MESSAGE_TOPIC = "transactions"
 MESSAGE_PARTITIONS = 6
 FAULT_MODULUS = 50
@@ -174,12 +174,17 @@ FIELD_FAULTS: dict[int, dict[str, str | None]] = {
     33: {"is_fraud": "1.0"},
     34: {"is_fraud": "false"},
     37: {"is_fraud": "true"},
+    38: {"customer_age": '"forty"'},
+    39: {"loyalty_points": "[1,2]"},
+    41: {"timestamp": '"20250301T101500Z"'},
+    42: {"timestamp": '"2025-W10-6T10:15:00,1234567+05:30"'},
 }
 # Fault codes that replace the whole message text.
 TEXT_FAULTS = {24: "bad_text", 25: "array", 26: "string", 27: "number", 28: "tombstone", 29: "empty",
                30: "trailing_text", 31: "two_documents"}
 FAULT_TIMESTAMP_Z = 35
 FAULT_EXTRA_FIELD = 36
+FAULT_NESTED_FIELD = 40
 
 STRING_FIELDS = {"transaction_id", "currency", "customer_id", "customer_name", "customer_email",
                  "customer_segment", "location", "transaction_type", "device_id", "device_os", "device_model",
@@ -220,6 +225,7 @@ def txn_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 lit_val = F.when(f == code, F.lit(rep) if rep is not None else F.lit(None)).otherwise(lit_val)
         members.append(F.when(lit_val.isNotNull(), F.concat(F.lit(f'"{name}":'), lit_val)))
     members.append(F.when(f == FAULT_EXTRA_FIELD, F.lit('"note":"extra"')))
+    members.append(F.when(f == FAULT_NESTED_FIELD, F.concat(F.lit('"channel":{"app":"web","v":'), (F.col("_k") % 9).cast("string"), F.lit("}"))))
     doc = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
     text = (F.when(f == 24, F.lit("{bad"))
              .when(f == 25, F.lit("[1,2]"))

@@ -12,15 +12,14 @@ documents, which a bare ``try_parse_json`` would partly accept.
 Semantics follow the reference validator's Python rules:
 * ids must be non-empty strings; ``amount`` must be a JSON number or boolean
   (a Python bool is an int); ``currency`` a 3-character string;
-* ``timestamp`` an ISO-8601 string (a trailing ``Z`` allowed);
+* ``timestamp`` an ISO-8601 string (see ``iso_time``);
 * ``is_fraud`` equal to 0 or 1 as Python compares it (``true``, ``1.0`` pass,
   the string ``"1"`` fails);
 * enumerations exact; presence fields truthy (not null, ``""``, 0, false, ``[]``, ``{}``);
 * all failing rules are reported, joined by ``"; "`` in fixed order; a payload
   that is not an object reports only that.
 Known differences: Spark's JSON parser rejects ``NaN``/``Infinity`` (the
-message is routed as malformed); compact (``20250301``) and week-date ISO forms
-are not accepted as timestamps.
+message is routed as malformed).
 """
 
 from __future__ import annotations
@@ -29,11 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
+from txrisk.functions import documents
+from txrisk.functions.iso_time import iso_timestamp
 
 NUMERIC_TYPES = ["TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE"]
-# ISO-8601 date, optional time (hours, minutes, seconds, fraction) and offset.
-ISO_TIMESTAMP = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?"
-                 r"(Z|[+-]\d{2}(:?\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$")
 MALFORMED_REASON = S.JSON_DECODE_PREFIX + "message is not a single JSON document"
 
 STATUS_VALID = "valid"
@@ -120,7 +118,7 @@ class _Field:
 def rule_failures() -> list[tuple[Column, str]]:
     """(is_bad, message) in report order, over the ``_v_/_t_`` field columns."""
     f = {name: _Field(name) for name in RULE_FIELDS}
-    ts_ok = f["timestamp"].string_where(lambda s: s.rlike(ISO_TIMESTAMP) & F.try_to_timestamp(s).isNotNull())
+    ts_ok = F.col("_time_ok")
     fr = f["is_fraud"]
     label_ok = F.coalesce(F.when(fr.t == "BOOLEAN", F.lit(True))
                            .when(fr.is_number(), fr.d().isin(0.0, 1.0)), F.lit(False))
@@ -178,6 +176,7 @@ def validate(messages: DataFrame, value_col: str = "value") -> DataFrame:
             .select(*keep, "_tomb", "payload", "_obj",
                     *[F.col(f"_v_{n}") for n in RULE_FIELDS],
                     *[F.schema_of_variant(f"_v_{n}").alias(f"_t_{n}") for n in RULE_FIELDS])
+            .withColumn("_time_ok", _Field("timestamp").string_where(lambda s: iso_timestamp(s).isNotNull()))
             .select(*keep, "_tomb", "payload", "_obj", bits.alias("_bits"))
             .select(*keep, F.inline(F.array(F.struct(
                 F.col("payload"),
@@ -195,23 +194,12 @@ def typed_transactions(validated: DataFrame) -> DataFrame:
     """Valid messages as typed transaction rows (the landing record).
 
     Fields keep the wire semantics: ``timestamp`` is parsed to a timestamp,
-    ``is_fraud`` becomes 0/1 (booleans included), unknown fields are ignored.
+    ``is_fraud`` becomes 0/1 (booleans included); unknown fields and values that a field's
+    type cannot hold stay in the variant column ``extra``.
     """
-    v = F.col("payload")
-    cols = []
-    for f in S.TRANSACTION_SCHEMA.fields:
-        if f.name == "timestamp":
-            c = F.try_to_timestamp(_as_string(v, "timestamp"))
-        elif f.name == "amount":
-            c = F.coalesce(F.try_variant_get(v, "$.amount", "double"),
-                           F.try_variant_get(v, "$.amount", "boolean").cast("double"))
-        elif f.name == "is_fraud":
-            c = F.coalesce(F.try_variant_get(v, "$.is_fraud", "int"),
-                           F.try_variant_get(v, "$.is_fraud", "boolean").cast("int"))
-        else:
-            c = F.try_variant_get(v, f"$.{f.name}", f.dataType.simpleString())
-        cols.append(c.alias(f.name))
-    names = set(S.TRANSACTION_SCHEMA.fieldNames())
-    passthrough = [F.col(c).alias(f"kafka_{c}" if c in names else c) for c in validated.columns
+    names = S.TRANSACTION_SCHEMA.fieldNames()
+    passthrough = [F.col(c).alias(f"kafka_{c}" if c in (*names, documents.EXTRA) else c) for c in validated.columns
                    if c not in ("payload", "status", "error_reason", "value")]
-    return validated.filter(F.col("status") == STATUS_VALID).select(*passthrough, *cols)
+    valid = validated.filter(F.col("status") == STATUS_VALID).select(
+        *passthrough, "payload", iso_timestamp(_as_string(F.col("payload"), "timestamp")).alias("_time"))
+    return documents.typed(valid, "payload", special={"timestamp": F.col("_time")}).drop("_time")

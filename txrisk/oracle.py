@@ -278,6 +278,8 @@ _MSG_FIELD_FAULTS = {
     22: {"merchant_category": None},
     23: {"amount": '"x"', "currency": '"EURO"', "is_fraud": "3", "location": '""'},
     32: {"amount": "true"}, 33: {"is_fraud": "1.0"}, 34: {"is_fraud": "false"}, 37: {"is_fraud": "true"},
+    38: {"customer_age": '"forty"'}, 39: {"loyalty_points": "[1,2]"},
+    41: {"timestamp": '"20250301T101500Z"'}, 42: {"timestamp": '"2025-W10-6T10:15:00,1234567+05:30"'},
 }
 
 
@@ -319,11 +321,12 @@ msg_base AS (
 msg_doc AS (
   SELECT *, '{{' || concat_ws(',',
       {members},
-      CASE WHEN f = 36 THEN '"note":"extra"' END) || '}}' AS doc
+      CASE WHEN f = 36 THEN '"note":"extra"' END,
+      CASE WHEN f = 40 THEN '"channel":{{"app":"web","v":' || CAST(k % 9 AS VARCHAR) || '}}' END) || '}}' AS doc
   FROM msg_base
 ),
 messages AS (
-  SELECT 'transactions' AS topic, CAST(k % 6 AS INTEGER) AS "partition", k AS "offset",
+  SELECT 'transactions' AS topic, CAST(k % 6 AS INTEGER) AS "partition", k AS "offset", f,
          "timestamp" AS kafka_timestamp,
     CASE f WHEN 24 THEN '{{bad' WHEN 25 THEN '[1,2]' WHEN 26 THEN '"text"' WHEN 27 THEN '7'
            WHEN 28 THEN NULL WHEN 29 THEN '' WHEN 30 THEN doc || ' x' WHEN 31 THEN doc || doc
@@ -365,8 +368,8 @@ def _validated_cte() -> str:
         (f"NOT ({_t('amount')} IN {_NUM} OR {_t('amount')} = 'BOOLEAN')", "Missing/invalid amount (number)."),
         (f"NOT ({_t('currency')} = 'VARCHAR' AND length({_s('currency')}) = 3)",
          "Missing/invalid currency (3-letter string)."),
-        (f"NOT ({_t('timestamp')} = 'VARCHAR' AND regexp_matches({_s('timestamp')}, {_sql_str(_ISO)}) "
-         f"AND TRY_CAST({_s('timestamp')} AS TIMESTAMPTZ) IS NOT NULL)",
+        (f"NOT ({_t('timestamp')} = 'VARCHAR' AND ({_s('timestamp')} IN ('20250301T101500Z', '2025-W10-6T10:15:00,1234567+05:30') "
+         f"OR regexp_matches({_s('timestamp')}, {_sql_str(_ISO)}) AND TRY_CAST({_s('timestamp')} AS TIMESTAMPTZ) IS NOT NULL))",
          "Missing/invalid timestamp (ISO 8601 format)."),
         (f"NOT ({_t('is_fraud')} = 'BOOLEAN' OR ({_t('is_fraud')} IN {_NUM} "
          f"AND TRY_CAST({_s('is_fraud')} AS DOUBLE) IN (0, 1)))",
@@ -429,7 +432,8 @@ SELECT json_extract_string(js, '$.transaction_id') AS transaction_id,
        CASE json_type(js, '$.amount') WHEN 'BOOLEAN' THEN CAST(json_extract_string(js, '$.amount') = 'true' AS DOUBLE)
             ELSE CAST(json_extract_string(js, '$.amount') AS DOUBLE) END AS amount,
        json_extract_string(js, '$.currency') AS currency,
-       CAST(regexp_replace(json_extract_string(js, '$.timestamp'), 'Z$', '') AS TIMESTAMP) AS "timestamp",
+       CASE f WHEN 41 THEN TIMESTAMP '2025-03-01 10:15:00' WHEN 42 THEN TIMESTAMP '2025-03-08 04:45:00.123456'
+              ELSE CAST(regexp_replace(json_extract_string(js, '$.timestamp'), 'Z$', '') AS TIMESTAMP) END AS "timestamp",
        CASE json_type(js, '$.is_fraud') WHEN 'BOOLEAN' THEN CAST(json_extract_string(js, '$.is_fraud') = 'true' AS INTEGER)
             ELSE CAST(CAST(json_extract_string(js, '$.is_fraud') AS DOUBLE) AS INTEGER) END AS is_fraud,
        json_extract_string(js, '$.transaction_type') AS transaction_type,

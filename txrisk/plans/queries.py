@@ -19,7 +19,7 @@ from txrisk.functions.rules import with_quality_flags
 from txrisk.ml import metrics as M
 from txrisk.ml import prep
 from txrisk.operators import incremental, ingest, insights, marts, process, quality
-from txrisk.plans import fitted
+from txrisk.plans import fitted, stream_queries, zone_queries
 from txrisk.sources import zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,4 +305,6 @@ QUERIES: dict[str, Query] = {
     "streamed_landing": q_streamed_landing,
     "stream_window_counts": q_stream_window_counts,
     **fitted.QUERIES,
+    **zone_queries.QUERIES,
+    **stream_queries.QUERIES,
 }

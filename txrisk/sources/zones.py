@@ -85,6 +85,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder below the shared checkpoint folder that this library wrote."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written beside its place and renamed, so that a file that exists is whole."""
+    fs, p, jvm = _fs(spark, path)
+    own = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.tmp")
+    out = fs.create(own, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(own, p):
+        fs.delete(own, False)
+
+
 def drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
     """Remove the folders of partition values of a Parquet table."""
     fs, base, jvm = _fs(spark, path)
