@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txrisk.llm.common import batches_of, mix, utf8, written
+from txrisk.llm.common import batches_of, mix, slices_by_bytes, utf8, written
 
 ORDER = 4
 PLACES = ["a", "b", "c", "d"]
@@ -28,6 +28,9 @@ PLACES = ["a", "b", "c", "d"]
 #: Most 4-grams of a model that is sent to tasks (16 bytes each).
 SENT = 4_000_000
 
+#: Bytes of text worked on at once (numpy needs about 60 bytes of scratch a character), and 4-grams that a task holds.
+SLICE, HELD = 1 << 20, 1 << 20
+
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +58,10 @@ class Grams:
         key = mix(wide[at] | wide[at + 1] << np.uint64(21) | wide[at + 2] << np.uint64(42)) + wide[at + 3] * GOLD
         names, number = language_hashes(languages)
         key = mix(key ^ names[number][self.row])
-        self.key, first, self.inverse = np.unique(key, return_index=True, return_inverse=True)
+        coded = pa.array(key).dictionary_encode()
+        self.key, self.inverse = coded.dictionary.to_numpy(), coded.indices.to_numpy(zero_copy_only=False)
+        # the dictionary is in the order of first occurrences
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(self.inverse), prepend=-1))
         self.at, self.language = at[first], number[self.row[first]]
 
 
@@ -71,17 +77,36 @@ def _digest(name: str) -> bytes:
     return hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=8).digest()
 
 
+COUNTED = ["key", "lang", *PLACES, "n"]
+
+
+def _merged(parts: list[pa.Table]) -> pa.Table:
+    """The parts with each key once."""
+    whole = pa.concat_tables(parts).combine_chunks()
+    coded = whole.column("key").combine_chunks().dictionary_encode()
+    place = coded.indices.to_numpy(zero_copy_only=False)
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(place), prepend=-1))
+    n = np.bincount(place, whole.column("n").to_numpy(), len(first)).astype(np.int64)
+    return whole.take(pa.array(first)).set_column(len(COUNTED) - 1, "n", pa.array(n))
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """(key, lang, a, b, c, d, n): how often every 4-gram of code points stands in the texts of every language."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        held: list[pa.Table] = []
+        for batch in slices_by_bytes(batches, 0, SLICE):
             grams = Grams(batch.column(0), batch.column(1))
             names = batch.column(1).dictionary_encode("encode").dictionary
             points = [pa.array(grams.points[grams.at + k].astype(np.int32)) for k in range(ORDER)]
             n = np.bincount(grams.inverse, minlength=len(grams.key))
-            yield pa.RecordBatch.from_arrays([pa.array(grams.key.astype(np.int64)), names.take(pa.array(grams.language)), *points, pa.array(n)],
-                                             ["key", "lang", *PLACES, "n"])
+            held.append(pa.table([pa.array(grams.key.view(np.int64)), names.take(pa.array(grams.language)), *points, pa.array(n)], COUNTED))
+            if sum(map(len, held)) > HELD:
+                held = [_merged(held)]
+                if len(held[0]) > HELD // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from _merged(held).to_batches()
 
     batches_of(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
@@ -163,7 +188,7 @@ def joined_means(docs: DataFrame, table: DataFrame) -> DataFrame:
     """(text_key, char_score) of every distinct text of a language, from ``docs`` (text, lang, text_key), by a join on the hash."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices_by_bytes(batches, 0, SLICE):
             grams = Grams(batch.column(0), batch.column(1))
             pairs, n = np.unique(grams.row * max(len(grams.key), 1) + grams.inverse, return_counts=True)
             row, gram = np.divmod(pairs, max(len(grams.key), 1))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from txrisk.llm import char_model
-from txrisk.llm.common import SPACE, WordScan, batches_of, mix, utf8, written
+from txrisk.llm.common import SPACE, WordScan, batches_of, mix, slices_by_bytes, utf8, written
 
 #: Languages with a class model of their own; all others share the last one.
 LANGUAGES = ("de", "en", "es", "fr")
@@ -92,7 +92,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices_by_bytes(batches, 0, char_model.SLICE):
             code, row = grams(*utf8(batch.column(0)))
             slot = slots(batch.column(1).to_pylist())[row]
             for s in np.unique(slot).tolist():
@@ -222,6 +222,7 @@ def base_rules(data: np.ndarray, offsets: np.ndarray, scan: WordScan) -> dict[st
 
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double, char_score double"
+STATS_NAMES = [column.split()[0] for column in STATS.split(", ")]
 
 
 def scored(docs: DataFrame, model: KneserNey, keep: list[str], most: int | None = None) -> DataFrame:
@@ -237,29 +238,34 @@ def scored(docs: DataFrame, model: KneserNey, keep: list[str], most: int | None
     chars_sent = char_model.sent(chars, most)
     rows = docs.select(text.alias("text"), lang.alias("lang"), text_key.alias("text_key"), F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            counts = base_rules(data, offsets, WordScan(data, offsets))
-            code, row = grams(data, offsets)
-            slot_of = slots(batch.column(1).to_pylist())
-            value = np.zeros(len(code))
-            for s in np.unique(slot_of).tolist():
-                mine = slot_of[row] == s
-                value[mine] = sent.value.table(s)[code[mine]]
-            size = np.bincount(row, minlength=batch.num_rows)
-            total = np.bincount(row, value, minlength=batch.num_rows)
-            score = pa.array(-total / np.maximum(size, 1), mask=size == 0)
-            if chars_sent is None:
-                char_score = pa.nulls(batch.num_rows, pa.float64())
-            else:
-                char_score = char_model.means(char_model.Grams(batch.column(0), batch.column(1)), chars_sent.value, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(1), batch.column(2),
-                                              *(pa.array(c.astype(np.int64)) for c in counts.values()), score, char_score],
-                                             ["row", "lang", "text_key", *counts, "score", "char_score"])
+    def of_slice(text: pa.Array, language: pa.Array) -> list[pa.Array]:
+        data, offsets = utf8(text)
+        counts = base_rules(data, offsets, WordScan(data, offsets))
+        code, row = grams(data, offsets)
+        slot_of = slots(language.to_pylist())
+        value = np.zeros(len(code))
+        for s in np.unique(slot_of).tolist():
+            mine = slot_of[row] == s
+            value[mine] = sent.value.table(s)[code[mine]]
+        size = np.bincount(row, minlength=len(text))
+        total = np.bincount(row, value, minlength=len(text))
+        score = pa.array(-total / np.maximum(size, 1), mask=size == 0)
+        if chars_sent is None:
+            char_score = pa.nulls(len(text), pa.float64())
+        else:
+            char_score = char_model.means(char_model.Grams(text, language), chars_sent.value, len(text))
+        return [*(pa.array(c.astype(np.int64)) for c in counts.values()), score, char_score]
+
+    @F.arrow_udf(returnType=STATS)
+    def stats_of(text: pa.Array, language: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text, language], ["text", "lang"])
+        parts = [of_slice(*part.columns) for part in slices_by_bytes([batch], 0, char_model.SLICE)] or [of_slice(text, language)]
+        return pa.StructArray.from_arrays([pa.concat_arrays(column) for column in zip(*parts)], STATS_NAMES)
 
     batches_of(spark)
-    stats = rows.mapInArrow(task, f"row {rows.schema['row'].dataType.simpleString()}, lang string, text_key long, {STATS}")
+    # only text and language go through Python; the row waits for them in Spark
+    stats = (rows.select("row", "lang", "text_key", stats_of("text", "lang").alias("stats"))
+             .select("row", "lang", "text_key", "stats.*"))
     if chars_sent is None:
         stats = stats.drop("char_score").join(char_model.joined_means(rows, chars), "text_key", "left")
     return stats.drop("text_key")
