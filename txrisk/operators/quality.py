@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    kind: str                      # not_null | unique | range | accepted_values | type
+    kind: str                      # not_null | unique | range | accepted_values | type | distribution
     column: str
     args: dict = field(default_factory=dict)
 
@@ -48,8 +48,45 @@ def has_type(col: str, type_name: str) -> Check:
     return Check("type", col, {"type": type_name})
 
 
+#: Size of a quantile sketch: about 0.4 % error of rank, some kilobytes however many rows it has seen.
+SKETCH = 800
+
+
+def has_distribution(col: str, mean: tuple | None = None, stddev: tuple | None = None, null_share: float | None = None,
+                     quantiles: dict[float, tuple] | None = None) -> Check:
+    """Q6: bounds (low, high) on mean, standard deviation and quantiles, and the largest share of nulls; ``None`` is no bound.
+
+    Quantiles come from a mergeable sketch in the suite's one pass; each broken bound is one failure.
+    """
+    return Check("distribution", col, {"mean": mean, "stddev": stddev, "null_share": null_share, "quantiles": quantiles or {}})
+
+
+def _outside(value: Column, bounds: tuple | None) -> Column:
+    if bounds is None:
+        return F.lit(0)
+    bad = F.lit(False)
+    for bound, breaks in zip(bounds, (lambda v, b: v < b, lambda v, b: v > b)):
+        if bound is not None:
+            bad = bad | breaks(value, F.lit(float(bound)))
+    return F.coalesce(bad, F.lit(False)).cast("int")          # no values: nothing to bound
+
+
+def _distribution_failures(c: Check) -> Column:
+    col = F.col(c.column).cast("double")
+    failures = _outside(F.avg(col), c.args["mean"]) + _outside(F.stddev(col), c.args["stddev"])
+    if c.args["null_share"] is not None:
+        failures = failures + _outside(F.count_if(col.isNull()) / F.count(F.lit(1)), (None, c.args["null_share"]))
+    for q, bounds in c.args["quantiles"].items():
+        sketch = F.kll_sketch_agg_double(col, F.lit(SKETCH))
+        value = F.when(F.count(col) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(float(q))))
+        failures = failures + _outside(value, bounds)
+    return failures
+
+
 def _failure_expr(c: Check) -> Column:
     col = F.col(c.column)
+    if c.kind == "distribution":
+        return _distribution_failures(c)
     if c.kind == "not_null":
         return F.count_if(col.isNull())
     if c.kind == "range":
@@ -75,7 +112,7 @@ def run_suite(df: DataFrame, checks: list[Check], table: str = "table") -> DataF
     key_cols = {c.column for c in key_checks}
     # not_null on a unique-checked key is answered by the same grouping (the null group)
     fused_nulls = [c for c in checks if c.kind == "not_null" and c.column in key_cols]
-    row_checks = [c for c in checks if c.kind in ("not_null", "range", "accepted_values") and c not in fused_nulls]
+    row_checks = [c for c in checks if c.kind in ("not_null", "range", "accepted_values", "distribution") and c not in fused_nulls]
     type_checks = [c for c in checks if c.kind == "type"]
     parts: list[DataFrame] = []
     if row_checks:
@@ -127,6 +164,31 @@ def distribution(df: DataFrame, col: str, quantiles: tuple[float, ...] = (0.25,
     )
 
 
+def sketches(df: DataFrame, col: str, period: Column, name: str = "period") -> DataFrame:
+    """Q6 over time: (period, rows, null_share, mean, stddev, sketch), one row per period.
+
+    Sketches of single periods merge to that of any span (``kll_merge_agg_double``), so the table can grow by a period at
+    a time and earlier rows are never read again.
+    """
+    value = F.col(col).cast("double")
+    return df.groupBy(period.alias(name)).agg(
+        F.count(F.lit(1)).alias("rows"), (F.count_if(value.isNull()) / F.count(F.lit(1))).alias("null_share"), F.avg(value).alias("mean"),
+        F.stddev(value).alias("stddev"), F.kll_sketch_agg_double(value, F.lit(SKETCH)).alias("sketch"))
+
+
+def drift(table: DataFrame, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75), bound: float = 0.1, name: str = "period") -> DataFrame:
+    """(period, shift, drifted): how far, in rank, the quantiles of all periods together lie from their place in a period."""
+    filled = table.filter("null_share < 1")
+    merged = F.kll_merge_agg_double("sketch", F.lit(SKETCH))
+    # one row, a number per quantile
+    whole = filled.agg(*(F.kll_sketch_get_quantile_double(merged, F.lit(q)).alias(f"q{i}") for i, q in enumerate(quantiles))).first()
+    if whole is None or whole[0] is None:
+        return filled.select(name, F.lit(None).cast("double").alias("shift"), F.lit(None).cast("boolean").alias("drifted"))
+    own = [F.abs(F.kll_sketch_get_rank_double("sketch", F.lit(v)) - F.lit(q)) for q, v in zip(quantiles, whole)]
+    shift = F.greatest(*own) if len(own) > 1 else own[0]
+    return filled.select(name, shift.alias("shift"), (shift > bound).alias("drifted"))
+
+
 # The reference's declared model tests (unique + not_null on each key).
 SCHEMA_TESTS: dict[str, list[Check]] = {
     "fact_transactions": [unique("transaction_id"), not_null("transaction_id")],

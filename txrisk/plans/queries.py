@@ -168,6 +168,41 @@ def q_quality_suite(spark, sf_dir):
     return quality.run_suite(fixtures.txn(spark, sf_dir), TXN_SUITE, "txn")
 
 
+DISTRIBUTION_SUITE = [
+    quality.has_distribution("amount", mean=(0, 5000), stddev=(None, 1), null_share=0.0, quantiles={0.5: (10, 1000), 0.99: (None, 50)}),
+    quality.has_distribution("merchant_amount", mean=(0, None), null_share=0.5, quantiles={0.25: (0, 900)}),
+    quality.has_distribution("customer_age", mean=(18, 80), stddev=(5, 40), quantiles={0.1: (18, 40), 0.9: (50, 80)}),
+]
+
+
+def _amounts(spark, sf_dir):
+    """Transactions with the amount that went to a merchant, null where there is none."""
+    return fixtures.txn(spark, sf_dir).withColumn("merchant_amount", F.when(F.col("merchant_id").isNotNull(), F.col("amount")))
+
+
+def q_distribution_suite(spark, sf_dir):
+    return quality.run_suite(_amounts(spark, sf_dir), DISTRIBUTION_SUITE, "txn")
+
+
+def q_distribution_monthly(spark, sf_dir):
+    """Every month's distribution; whether its sketched quartiles have the ranks that they should; whether the month drifted."""
+    month = F.trunc(F.to_date("timestamp"), "month")
+    table = zones.materialize(quality.sketches(_amounts(spark, sf_dir), "merchant_amount", month, "month"), "sketches")
+    at = [0.25, 0.5, 0.75]
+    values = table.filter("null_share < 1").select(F.col("month").alias("of"), *(
+        F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"q{i}") for i, q in enumerate(at)))
+    rows = _amounts(spark, sf_dir).select(month.alias("month"), "merchant_amount").filter("merchant_amount IS NOT NULL")
+    n = F.count(F.lit(1))
+    holds = F.lit(True)
+    for i, q in enumerate(at):
+        below, upto = (F.count_if(c) / n for c in (F.col("merchant_amount") < F.col(f"q{i}"), F.col("merchant_amount") <= F.col(f"q{i}")))
+        holds = holds & (below <= q + 0.02) & (upto >= q - 0.02)
+    checked = rows.join(values, rows.month == values.of).groupBy("month").agg(holds.alias("quartiles_hold"))
+    moved = quality.drift(table, bound=0.3, name="month").select("month", "drifted")
+    return (table.drop("sketch").join(checked, "month", "left").join(moved, "month", "left")
+            .withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)}))
+
+
 def q_fraud_volume_daily(spark, sf_dir):
     return insights.fraud_volume_daily(marts.fact_transactions(stg(spark, sf_dir)))
 
@@ -289,6 +324,8 @@ QUERIES: dict[str, Query] = {
     "fact_incremental_partitioned": q_fact_incremental_partitioned,
     "schema_tests": q_schema_tests,
     "quality_suite": q_quality_suite,
+    "distribution_suite": q_distribution_suite,
+    "distribution_monthly": q_distribution_monthly,
     "fraud_volume_daily": q_fraud_volume_daily,
     "fraud_rate_by_dimension": q_fraud_rate_by_dimension,
     "rule_hit_counts": q_rule_hit_counts,
