@@ -64,7 +64,7 @@ class Lines:
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """(leaf, key, size, n, first): every line, in how many documents, and the smallest id of those."""
+    """(leaf, key, size, n, first): every line, in how many documents that have an id, and the smallest id of those."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,7 +77,14 @@ def _counted(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(lines.leaf[by]), pa.array(lines.key[by]), pa.array(lines.size[by]),
                                               batch.column(1).take(pa.array(lines.row[by]))], ["leaf", "key", "size", "doc_id"])
 
-    rows = docs.select("text", "doc_id").mapInArrow(task, "leaf long, key long, size long, doc_id long")
+    lines = lambda some: some.select("text", "doc_id").mapInArrow(task, "leaf long, key long, size long, doc_id long")
+    named = docs.filter("doc_id IS NOT NULL")
+    # an id that comes in several rows is one document: its lines are counted once; all other rows need no comparison
+    again = written(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        rows = lines(named)
+    else:
+        rows = lines(named.join(again, "doc_id", "left_anti")).unionByName(lines(named.join(again, "doc_id", "left_semi")).distinct())
     return rows.groupBy("leaf", "key", "size").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
 
 
