@@ -104,3 +104,12 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_MID}/pages.parquet'")
     got = {tuple(r) for r in QUERIES["op9_zip_archives"](spark, SF_MID).collect()}
     assert got == set(con.sql(ORACLE["op9_zip_archives"]).fetchall())
+
+
+def test_several_tasks_read(spark):
+    from pyspark.sql import functions as F
+    pages = spark.createDataFrame([(i, f"http://x.org/{i}", "p" * (i % 7)) for i in range(300)], "page_id long, url string, html string")
+    packages = archives.write_packages(archives.typed(pages.repartition(2)), package_records=50)
+    read = archives.read_packages(packages, slice_records=10)
+    assert read.count() == 300
+    assert read.select(F.spark_partition_id()).distinct().count() > 4

@@ -109,5 +109,13 @@ def test_scan_of_foreign_files(spark):
         ("d", 0, 0, 50, True), ("e", 0, 0, 30, False)]
 
 
+def test_several_tasks_search(spark):
+    from pyspark.sql import functions as F
+    path = f"{scratch(spark, 'long')}/one"
+    write_file(path, iter([np.arange(10_000, dtype="<u2").tobytes()]))
+    found = token_files.searched_blocks(spark.createDataFrame([(path,)], "path string"), 9, block_tokens=100)
+    assert found.count() == 100 and found.select(F.spark_partition_id()).distinct().count() > 4
+
+
 def test_token_counts_of_an_empty_table(spark):
     assert token_files.document_token_counts(frame(spark, []), VOCABULARY, 49407).count() == 0

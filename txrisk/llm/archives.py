@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txrisk.llm.common import batches_of, open_fs, scratch, written
+from txrisk.llm.common import batches_of, open_fs, scratch, spread, written
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 
@@ -285,8 +285,8 @@ def read_packages(packages: DataFrame, slice_records: int = SLICE_RECORDS) -> Da
                 if out:
                     yield pd.DataFrame(out, columns=COLUMNS).astype(TYPES)
 
-    cut = packages.select("path").mapInPandas(slices, "path string, slice long, offsets array<long>, lengths array<long>")
-    return cut.repartition("path", "slice").mapInPandas(
+    cut = written(packages.select("path").mapInPandas(slices, "path string, slice long, offsets array<long>, lengths array<long>"), "slices")
+    return cut.repartition(spread(packages.sparkSession, cut.count()), "path", "slice").mapInPandas(
         records, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 

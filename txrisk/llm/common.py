@@ -54,6 +54,14 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(spark: SparkSession, pieces: int, most: int = 32) -> int:
+    """Partitions for so many small rows that each stand for much reading: some for every core, at most ``most`` rows in each.
+
+    Such a shuffle needs a number, as by its bytes it would be joined to one partition.
+    """
+    return max(1, min(pieces, max(4 * spark.sparkContext.defaultParallelism, -(-pieces // most))))
+
+
 def batches_of(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows per Arrow batch for the plans made from here on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txrisk.llm import word_bpe
-from txrisk.llm.common import batches_of, open_fs, scratch, write_file, written
+from txrisk.llm.common import batches_of, open_fs, scratch, spread, write_file, written
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, dtype: str = "<u2",
@@ -59,8 +59,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, dtype: str
     return written(rows.mapInArrow(task, "path string, ordinal long, doc_id long"), "token-docs")
 
 
-def separator_scan(files: DataFrame, end_id: int, dtype: str = "<u2", block_tokens: int = 1 << 20) -> DataFrame:
-    """(path, ordinal, start, n_tokens, terminated) of every document in the files named in column ``path``."""
+def searched_blocks(files: DataFrame, end_id: int, dtype: str = "<u2", block_tokens: int = 1 << 20) -> DataFrame:
+    """(path, block, begin, size, ends): the blocks of the files and the places of their separators."""
     width = np.dtype(dtype).itemsize
 
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,9 +80,14 @@ def separator_scan(files: DataFrame, end_id: int, dtype: str = "<u2", block_toke
                 yield pd.DataFrame({"path": [path], "block": [block], "begin": [begin], "size": [size],
                                     "ends": [begin + np.flatnonzero(tokens == end_id)]})
 
-    cut = files.select("path").distinct().mapInPandas(blocks, "path string, block long, begin long, size long")
-    found = written(cut.repartition("path", "block")
-                    .mapInPandas(search, "path string, block long, begin long, size long, ends array<long>"), "token-blocks")
+    cut = written(files.select("path").distinct().mapInPandas(blocks, "path string, block long, begin long, size long"), "token-cuts")
+    return (cut.repartition(spread(files.sparkSession, cut.count()), "path", "block")
+            .mapInPandas(search, "path string, block long, begin long, size long, ends array<long>"))
+
+
+def separator_scan(files: DataFrame, end_id: int, dtype: str = "<u2", block_tokens: int = 1 << 20) -> DataFrame:
+    """(path, ordinal, start, n_tokens, terminated) of every document in the files named in column ``path``."""
+    found = written(searched_blocks(files, end_id, dtype, block_tokens), "token-blocks")
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("path")
     stitched = (found.withColumn("last_end", F.try_element_at("ends", F.lit(-1)))
