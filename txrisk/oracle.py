@@ -534,8 +534,8 @@ SELECT 'txn' AS table_name, 'distribution' AS check_name, column_name, failures,
     "distribution_monthly": with_txn("""
 SELECT CAST(date_trunc('month', "timestamp") AS DATE) AS month, CAST(count(*) AS BIGINT) AS rows,
        count(*) FILTER (WHERE merchant_id IS NULL) / count(*) AS null_share,
-       round(avg(CASE WHEN merchant_id IS NOT NULL THEN amount END), 4) AS mean,
-       round(stddev_samp(CASE WHEN merchant_id IS NOT NULL THEN amount END), 4) AS stddev,
+       round(avg(CASE WHEN merchant_id IS NOT NULL THEN amount END) + 1e-9, 4) AS mean,
+       round(stddev_samp(CASE WHEN merchant_id IS NOT NULL THEN amount END) + 1e-9, 4) AS stddev,
        CASE WHEN count(merchant_id) > 0 THEN true END AS quartiles_hold, CASE WHEN count(merchant_id) > 0 THEN false END AS drifted
 FROM txn GROUP BY 1"""),
     "quality_suite": _QUALITY_SQL,
