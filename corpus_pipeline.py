@@ -18,6 +18,9 @@ PASSAGE = 50
 #: Words of a shingle and least similarity in percent of the near-duplicate stage.
 WIDTH, PERCENT = 5, 80
 
+#: Keys of rows without an id begin here; ids are below.
+NO_ID = 1 << 61
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside their language's perplexity bands."""
@@ -36,15 +39,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (5-word shingles at 0.8), that with the smallest id; of repeated rows one stays."""
-    groups = ngram_join.join(docs, width=WIDTH, percent=PERCENT)
-    keep = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id")
+    """One document of each group of near duplicates (5-word shingles at 0.8), that with the smallest id; of repeated rows one stays.
+
+    Rows without an id go by a key of their text above all ids, so they stay only in groups that have no id; those without
+    words, which are linked with nothing, all stay.
+    """
+    text, doc_id = F.col("text").cast("string"), F.col("doc_id").cast("long")
+    key = F.coalesce(doc_id, F.lit(NO_ID) + F.pmod(F.xxhash64(text), F.lit(NO_ID)))
+    alone = doc_id.isNull() & ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(whole.alias("row"), key.alias("key"), text.alias("text"), alone.alias("alone"))
+    groups = ngram_join.join(rows.filter("NOT alone"), "key", "text", WIDTH, PERCENT)
+    keep = (groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
             .agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("kept_id"), "n"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    kept = rows.join(keep, F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")))
-    single, repeated = kept.filter("n = 1 OR kept_id IS NULL"), kept.filter("n > 1 AND kept_id IS NOT NULL")
-    one = repeated.select("row", "kept_id", F.col("row.text").alias("text")).dropDuplicates(["kept_id", "text"])
-    return single.select("row.*").unionByName(one.select("row.*"))
+    kept = rows.filter("NOT alone").join(keep, F.col("key") == F.col("kept_id"))
+    single, repeated = kept.filter("n = 1"), kept.filter("n > 1").dropDuplicates(["key", "text"])
+    return single.select("row.*").unionByName(repeated.select("row.*")).unionByName(rows.filter("alone").select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
