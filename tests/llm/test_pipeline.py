@@ -18,7 +18,7 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 def test_one_document_of_each_group_stays(spark):
     docs = frame(spark, documents())
     kept = p.ngram_jaccard(spark, docs, SF_SMALL).collect()
-    groups = {r.component_id for r in ngram_join.join(docs).collect()}
+    groups = {r.component_id for r in ngram_join.join(docs, width=p.WIDTH, percent=p.PERCENT).collect()}
     ids = [r.doc_id for r in kept]
     assert len(ids) == len(set(ids)) and set(ids) == groups
 
