@@ -20,7 +20,7 @@ buckets AS (
 )"""
 
 ORACLE: dict[str, str] = {
-    "open_landing": with_messages(f"""
+    "landed_documents": with_messages(f"""
 SELECT json_extract_string(js, '$.transaction_id') AS transaction_id, {_AMOUNT} AS amount, {_LABEL} AS is_fraud,
        TRY_CAST(json_extract_string(js, '$.customer_age') AS INTEGER) AS customer_age,
        CASE WHEN json_type(js, '$.customer_age') = 'VARCHAR' THEN CAST(json_extract(js, '$.customer_age') AS VARCHAR) END AS customer_age__raw,
