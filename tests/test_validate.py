@@ -118,3 +118,12 @@ def test_no_python_udf_in_plan(spark):
     df = spark.createDataFrame([(msg(),)], "value string")
     plan = V.validate(df)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_status_alone_copies_no_document(spark):
+    df = spark.createDataFrame([(msg(),), ("[1]",), ("",), (msg() + msg(),), ("null",), ("7",), (None,)], "value string")
+    status = V.validate(df).select("status", "error_reason")
+    assert "AS payload" not in status._jdf.queryExecution().optimizedPlan().toString()
+    read = V.validate(df).selectExpr("status", "to_json(payload) AS doc").collect()
+    assert [r["status"] for r in read] == ["valid", "invalid", "malformed", "malformed", "invalid", "invalid", "tombstone"]
+    assert [r["doc"] for r in read][1:] == ["[1]", None, None, "null", "7", None]
