@@ -5,13 +5,14 @@ Plan notes for scale
 * Dimensions are ``GROUP BY all attributes`` (i.e. DISTINCT), as in the
   reference.  The distinct aggregate is partial + final, so a hot key collapses
   map-side before the shuffle.
-* The mart joins the fact to four dimensions on their keys.  The fact is
-  **pre-aggregated on the four join keys first** (count, fraud count, exact
-  decimal sums); the joins then replicate aggregate rows exactly as they would
-  replicate fact rows, so the result is identical to joining raw rows (the
-  dimension fan-out of defect D4 included) while the join inputs shrink to the
-  number of distinct key combinations.  A skewed key (a third of all rows on one
-  timestamp) becomes one row per map task after the partial aggregate.
+* The mart counts a fact row once for each dimension row of its key (the dimension
+  fan-out of defect D4 included).  Merchants, locations and payment methods that have
+  equal dimension rows are one **class**; the fact is summed by class, and only the
+  sums are spread over the class's rows, weighted.  So the fan-out multiplies sums, not
+  fact rows, and no key wider than a number is shuffled.
+* A staged row's own day and hour are a row of its time key.  Only time keys with
+  several dimension rows are joined, so the fact is not shuffled by time and a skewed
+  key (a third of all rows on one timestamp) stays where it is.
 * No broadcast is forced: dimension sizes grow with the data, so AQE decides
   from measured sizes (``spark.sql.autoBroadcastJoinThreshold``) and falls back
   to a shuffled join otherwise; skewed shuffle joins are split by AQE.
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.functions import classify as K
+from txrisk.sources.zones import materialize
 
 AMOUNT_DECIMAL = "decimal(18,5)"
 
@@ -43,12 +45,13 @@ def staging(processed: DataFrame, location_fmt: str | None = None) -> DataFrame:
     if "fraud_rules" not in df.columns:
         from txrisk.functions.rules import with_fraud_rules
         df = with_fraud_rules(df)
-    return df.select(
-        *S.TRANSACTION_COLUMNS,
-        K.payment_method_key().alias("payment_method_key"),
-        K.location_key(fmt=location_fmt).alias("location_key"),
-        K.time_key().alias("time_key"),
-    )
+    return with_keys(df.select(*S.TRANSACTION_COLUMNS), location_fmt)
+
+
+def with_keys(df: DataFrame, location_fmt: str | None = None) -> DataFrame:
+    """The three md5 surrogate keys, added: functions of the row, so a stored staging need not hold them."""
+    return df.select("*", K.payment_method_key().alias("payment_method_key"),
+                     K.location_key(fmt=location_fmt).alias("location_key"), K.time_key().alias("time_key"))
 
 
 # --- dimensions (C6, G1, B9-B16) ---------------------------------------------
@@ -85,14 +88,18 @@ def dim_payment_method(stg: DataFrame) -> DataFrame:
 
 
 def dim_time(stg: DataFrame) -> DataFrame:
-    return (stg.select(
-                "time_key", "timestamp",
+    """The key and the parts of the time are functions of the timestamp, so they are not shuffled; all rows of a
+    timestamp come out of one task, for what groups or joins by it."""
+    of_time = stg.groupBy("timestamp").agg(F.collect_set(F.struct("day_of_week", "transaction_hour")).alias("_rows"))
+    return (of_time.select("timestamp", F.inline("_rows"))
+               .select(
+                "timestamp", "day_of_week", "transaction_hour",
+                K.time_key().alias("time_key"),
                 F.to_date("timestamp").alias("date"),
                 F.hour("timestamp").alias("hour"),
                 F.minute("timestamp").alias("minute"),
-                F.second("timestamp").alias("second"),
-                "day_of_week", "transaction_hour")
-               .distinct()
+                F.second("timestamp").alias("second"))
+               .select("time_key", "timestamp", "date", "hour", "minute", "second", "day_of_week", "transaction_hour")
                .withColumn("time_of_day", K.time_of_day())
                .withColumn("day_type", K.day_type()))
 
@@ -162,20 +169,9 @@ def _is_fraud(col: str = "is_fraud") -> Column:
     return F.col(col) == 1
 
 
-def _fact_partials(fact: DataFrame) -> DataFrame:
-    """Fact reduced to one row per (join keys): counts and exact sums.
-
-    avg(amount) ignores null amounts, so the amount count is carried separately
-    from the row count.
-    """
-    amt = F.col("amount").cast(AMOUNT_DECIMAL)
-    return (fact.groupBy("merchant_id", "location_key", "time_key", "payment_method_key")
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.count_if(_is_fraud()).alias("n_fraud"),
-                     F.count("amount").alias("n_amount"),
-                     F.count_if(_is_fraud() & F.col("amount").isNotNull()).alias("n_fraud_amount"),
-                     F.sum(amt).alias("s_amount"),
-                     F.sum(F.when(_is_fraud(), amt)).alias("s_fraud_amount")))
+#: Staged columns that the mart and its dimensions read; the keys are made again from them.
+MART_SOURCE = ["merchant_id", "merchant_name", "merchant_category", "location", "latitude", "longitude", "timestamp",
+               "day_of_week", "transaction_hour", "payment_method", "is_fraud", "amount"]
 
 
 def _weighted(dim: DataFrame, key: str, attributes: list[str], name: str) -> DataFrame:
@@ -187,45 +183,105 @@ def _weighted(dim: DataFrame, key: str, attributes: list[str], name: str) -> Dat
     return dim.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias(name))
 
 
-_WEIGHTS = ["w_merchant", "w_location", "w_time", "w_payment"]
+def _classes(dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(key, class) and (class, rows) of a weighted dimension: keys with equal rows are one class.
+
+    Both are written, so that a join knows their size before it moves the fact.
+    """
+    sets = (dim.filter(F.col(key).isNotNull()).groupBy(key)
+               .agg(F.sort_array(F.collect_list(F.struct(*[c for c in dim.columns if c != key]))).alias("rows")))
+    sets = materialize(sets, "dimension")
+    classes = materialize(sets.select("rows").distinct().withColumn(f"class_{key}", F.monotonically_increasing_id()), "classes")
+    return materialize(sets.join(classes, "rows").select(key, f"class_{key}"), "class_keys"), classes
 
 
-def _times_weights(partials: DataFrame) -> DataFrame:
+def _measured(rows: DataFrame) -> DataFrame:
+    """Fact rows with what the mart sums up.  avg(amount) ignores null amounts, so amounts are counted apart from rows."""
+    amt = F.col("amount").cast(AMOUNT_DECIMAL)
+    return rows.withColumns({"_fraud": F.coalesce(_is_fraud(), F.lit(False)), "n": F.lit(1).cast("bigint"),
+                             "n_amount": amt.isNotNull().cast("bigint"), "s_amount": amt})
+
+
+def _mart(rows: DataFrame, dims: dict[str, DataFrame], own: list[str]) -> DataFrame:
+    """The mart from measured fact rows (``own`` attributes, keys of ``dims``, weight ``w_time``) and weighted dimensions."""
+    group, tables = [*own], {}
+    for key, dim in dims.items():
+        keys, tables[f"class_{key}"] = _classes(dim, key)
+        rows = rows.join(keys, key)
+        group.append(f"class_{key}")
+    measures = ["n", "n_amount", "s_amount"]
+    sums = rows.groupBy(*group, "_fraud").agg(*[F.sum(F.col(m) * F.col("w_time")).alias(m) for m in measures])
     weight = F.lit(1)
-    for name in _WEIGHTS:
+    for name, classes in tables.items():
+        sums = sums.join(classes, name).select(*[c for c in sums.columns if c != name], F.inline("rows"))
+    for name in [c for c in sums.columns if c.startswith("w_")]:
         weight = weight * F.col(name)
-    measures = ["n", "n_fraud", "n_amount", "n_fraud_amount", "s_amount", "s_fraud_amount"]
-    return partials.withColumn("_w", weight).withColumns({m: F.col(m) * F.col("_w") for m in measures})
+    spread = sums.withColumn("_w", weight).withColumns({m: F.col(m) * F.col("_w") for m in measures})
+    attributes = [c for c in MART_GROUP if c in spread.columns]
+    n, amounts, total = (F.col(c) for c in ("n", "n_amount", "s_amount"))
+    fraud = F.col("_fraud")
+    mart = (spread.groupBy(*attributes)
+                  .agg(F.sum(n).alias("n"), F.sum(F.when(fraud, n).otherwise(0)).alias("n_fraud"), F.sum(amounts).alias("n_amount"),
+                       F.sum(F.when(fraud, amounts).otherwise(0)).alias("n_fraud_amount"), F.sum(total).alias("s_amount"),
+                       F.sum(F.when(fraud, total)).alias("s_fraud_amount")))
+    # attributes that follow from others are added to the sums
+    derived = {"risk_category": K.merchant_risk, "continent": lambda: K.continent("country_code"), "payment_risk_level": K.payment_risk}
+    mart = mart.withColumns({c: f() for c, f in derived.items() if c not in attributes})
+    return mart.select(*MART_GROUP, *_final_measures())
 
 
 def _final_measures() -> list[Column]:
-    total = F.sum("n").cast("bigint")
-    frauds = F.sum("n_fraud").cast("bigint")
+    total = F.col("n").cast("bigint")
+    frauds = F.col("n_fraud").cast("bigint")
     return [
         total.alias("total_transactions"),
         frauds.alias("fraud_transactions"),
         (frauds / F.nullif(total, F.lit(0)) * 100).alias("fraud_rate"),
-        (F.sum("s_amount").cast("double") / F.nullif(F.sum("n_amount"), F.lit(0))).alias("avg_transaction_amount"),
-        (F.sum("s_fraud_amount").cast("double") / F.nullif(F.sum("n_fraud_amount"), F.lit(0)))
+        (F.col("s_amount").cast("double") / F.nullif(F.col("n_amount"), F.lit(0))).alias("avg_transaction_amount"),
+        (F.col("s_fraud_amount").cast("double") / F.nullif(F.col("n_fraud_amount"), F.lit(0)))
         .alias("avg_fraud_amount"),
     ]
 
 
+_TIME_ATTRIBUTES = ["date", "day_of_week", "time_of_day"]
+_MERCHANT_ATTRIBUTES = ["merchant_category", "risk_category"]
+
+
 def fraud_detection_metrics(fact: DataFrame, dim_merchant_df: DataFrame, dim_location_df: DataFrame,
                             dim_time_df: DataFrame, dim_payment_df: DataFrame) -> DataFrame:
-    """The star-join mart, exact under dimension fan-out (inner joins)."""
-    dm = _weighted(dim_merchant_df, "merchant_id", ["merchant_category", "risk_category"], "w_merchant")
-    dl = _weighted(dim_location_df, "location_key", ["country_code", "continent"], "w_location")
-    dt = _weighted(dim_time_df, "time_key", ["date", "day_of_week", "time_of_day"], "w_time")
-    dpm = _weighted(dim_payment_df, "payment_method_key", ["payment_method", "payment_risk_level"], "w_payment")
-    return _joined(_fact_partials(fact), dm, dl, dt, dpm)
+    """The star-join mart, exact under dimension fan-out (inner joins), of any fact and dimensions."""
+    times = _weighted(dim_time_df, "time_key", _TIME_ATTRIBUTES, "w_time")
+    rows = fact.select("merchant_id", "location_key", "payment_method_key", "time_key", "is_fraud", "amount").join(times, "time_key")
+    return _mart(_measured(rows), _star_dimensions(dim_merchant_df, dim_location_df, dim_payment_df), _TIME_ATTRIBUTES)
+
 
+def _star_dimensions(merchants: DataFrame, locations: DataFrame, payments: DataFrame) -> dict[str, DataFrame]:
+    return {"merchant_id": _weighted(merchants, "merchant_id", _MERCHANT_ATTRIBUTES, "w_merchant"),
+            "location_key": _weighted(locations, "location_key", ["country_code", "continent"], "w_location"),
+            "payment_method_key": _weighted(payments, "payment_method_key", ["payment_method", "payment_risk_level"], "w_payment")}
 
-def _joined(partials: DataFrame, dm: DataFrame, dl: DataFrame, dt: DataFrame, dpm: DataFrame) -> DataFrame:
-    """The mart from fact partials and weighted dimensions."""
-    joined = (partials.join(dpm, "payment_method_key").join(dm, "merchant_id")
-                      .join(dl, "location_key").join(dt, "time_key"))
-    return _times_weights(joined).groupBy(*MART_GROUP).agg(*_final_measures())
+
+def _timed(stg: DataFrame, dim_time_df: DataFrame) -> DataFrame:
+    """Staged rows with the time attributes of their key and the weight ``w_time``, repeated where these differ.
+
+    ``dim_time_df`` is the time dimension of the same rows.  So a row's own attributes are one row of its key,
+    and only keys with several rows are joined.
+    """
+    several = (dim_time_df.filter(F.col("timestamp").isNotNull()).groupBy("timestamp")
+               .agg(F.collect_list(F.struct(*_TIME_ATTRIBUTES)).alias("_times")).filter(F.size("_times") > 1)
+               .select(F.col("timestamp"), F.inline("_times")).groupBy("timestamp", *_TIME_ATTRIBUTES)
+               .agg(F.count(F.lit(1)).alias("w_time")))
+    several = materialize(several.select("timestamp", F.struct(*_TIME_ATTRIBUTES).alias("_time"), "w_time"), "times")
+    own = F.struct(F.to_date("timestamp").alias("date"), "day_of_week", K.time_of_day().alias("time_of_day"))
+    rows = stg.filter(F.col("timestamp").isNotNull()).join(several, "timestamp", "left").withColumn("_time", F.coalesce("_time", own))
+    return rows.withColumns({**{c: F.col(f"_time.{c}") for c in _TIME_ATTRIBUTES}, "w_time": F.coalesce("w_time", F.lit(1))})
+
+
+def star_mart(stg: DataFrame, dim_mode: str = "distinct") -> DataFrame:
+    """The star-join mart of one staging frame, which needs ``MART_SOURCE`` and the keys (and transaction_id for 'latest')."""
+    dims = _dimensions(dim_mode)
+    rows = _timed(stg, dims["dim_time"](stg))
+    return _mart(_measured(rows), _star_dimensions(dims["dim_merchant"](stg), dims["dim_location"](stg), dims["dim_payment_method"](stg)), _TIME_ATTRIBUTES)
 
 
 def fraud_detection_metrics_flat(stg: DataFrame) -> DataFrame:
@@ -262,18 +318,16 @@ def fraud_detection_metrics_rows(stg: DataFrame) -> DataFrame:
     attributes come from the staged row itself.  A merchant id or a time key can have
     several dimension rows; these two dimensions are joined, weighted.
     """
-    merchants = _weighted(dim_merchant(stg), "merchant_id", ["merchant_category", "risk_category"], "w_merchant")
-    times = _weighted(dim_time(stg), "time_key", ["date", "day_of_week", "time_of_day"], "w_time")
-    amt = F.col("amount").cast(AMOUNT_DECIMAL)
-    own = (stg.filter(F.col("location_key").isNotNull() & F.col("payment_method_key").isNotNull())
-              .groupBy("merchant_id", "time_key", F.col("location").alias("country_code"), K.continent().alias("continent"),
-                       "payment_method", K.payment_risk().alias("payment_risk_level"))
-              .agg(F.count(F.lit(1)).alias("n"), F.count_if(_is_fraud()).alias("n_fraud"), F.count("amount").alias("n_amount"),
-                   F.count_if(_is_fraud() & F.col("amount").isNotNull()).alias("n_fraud_amount"),
-                   F.sum(amt).alias("s_amount"), F.sum(F.when(_is_fraud(), amt)).alias("s_fraud_amount")))
-    joined = own.join(merchants, "merchant_id").join(times, "time_key")
-    return (_times_weights(joined.withColumns({"w_location": F.lit(1), "w_payment": F.lit(1)}))
-            .groupBy(*MART_GROUP).agg(*_final_measures()))
+    rows = (_timed(stg.filter(F.col("location_key").isNotNull() & F.col("payment_method_key").isNotNull()), dim_time(stg))
+            .withColumnRenamed("location", "country_code"))
+    merchants = _weighted(dim_merchant(stg), "merchant_id", ["merchant_category"], "w_merchant")
+    return _mart(_measured(rows), {"merchant_id": merchants}, [*_TIME_ATTRIBUTES, "country_code", "payment_method"])
+
+
+def _dimensions(dim_mode: str) -> dict:
+    if dim_mode not in ("distinct", "latest"):
+        raise ValueError(f"dim_mode must be 'distinct' or 'latest', got {dim_mode!r}")
+    return {**DIMENSIONS, **(LATEST_DIMENSIONS if dim_mode == "latest" else {})}
 
 
 def build_star(stg: DataFrame, dim_mode: str = "distinct") -> dict[str, DataFrame]:
@@ -281,55 +335,43 @@ def build_star(stg: DataFrame, dim_mode: str = "distinct") -> dict[str, DataFram
 
     ``dim_mode='latest'`` swaps in one-row-per-key customer/merchant/device dims.
     """
-    if dim_mode not in ("distinct", "latest"):
-        raise ValueError(f"dim_mode must be 'distinct' or 'latest', got {dim_mode!r}")
-    dims = dict(DIMENSIONS)
-    if dim_mode == "latest":
-        dims.update(LATEST_DIMENSIONS)
-    out = {name: f(stg) for name, f in dims.items()}
+    out = {name: f(stg) for name, f in _dimensions(dim_mode).items()}
     out["fact_transactions"] = fact_transactions(stg)
     return out
 
 
 def build_marts(stg: DataFrame, dim_mode: str = "distinct") -> dict[str, DataFrame]:
     star = build_star(stg, dim_mode)
-    star["fraud_detection_metrics"] = fraud_detection_metrics(
-        star["fact_transactions"], star["dim_merchant"], star["dim_location"], star["dim_time"],
-        star["dim_payment_method"])
+    star["fraud_detection_metrics"] = star_mart(stg, dim_mode)
     return star
 
 
 # Grouping sets of the one-pass mart: (label, grouping columns).
 _ONEPASS_SETS = [
-    ("f", ["merchant_id", "location_key", "time_key", "payment_method_key"]),
+    ("f", ["merchant_id", "location_key", "payment_method_key", "timestamp", "day_of_week", "transaction_hour", "_fraud"]),
     ("m", ["merchant_id", "merchant_name", "merchant_category"]),
     ("l", ["location_key", "country_code", "latitude", "longitude"]),
-    ("t", ["time_key", "timestamp", "day_of_week", "transaction_hour"]),
     ("p", ["payment_method_key", "payment_method"]),
 ]
 # A column grouped only in that set identifies it.
-_ONEPASS_MARKER = {"f": None, "m": "merchant_name", "l": "country_code", "t": "timestamp", "p": "payment_method"}
+_ONEPASS_MARKER = {"f": None, "m": "merchant_name", "l": "country_code", "p": "payment_method"}
 
 
 def fraud_detection_metrics_onepass(stg: DataFrame) -> DataFrame:
     """The star-join mart from one scan of staging.
 
-    One GROUPING SETS aggregate yields (a) the fact partials per join-key tuple
-    and (b) the distinct attribute tuples of the merchant, location, time and
-    payment dimensions -- exactly the rows the DISTINCT dimension models hold.
-    That small result is written once; each dimension is reduced to its
-    attributes with a row count, and the counts multiply the measures, so the
-    output equals the star join without repeating rows.  Staging is read once and shuffled once (after map-side partial
-    aggregation) instead of once per dimension.
+    One GROUPING SETS aggregate yields (a) the fact partials by join keys, with the
+    staged attributes of the time dimension, whose rows are their distinct ones, and
+    (b) the distinct attribute tuples of the merchant, location and payment
+    dimensions -- exactly the rows the DISTINCT dimension models hold.
+    That result is written once, and the mart is the star join of it.  Staging is read
+    once and shuffled once (after map-side partial aggregation) instead of once per dimension.
     """
-    from txrisk.sources.zones import materialize
     spark = stg.sparkSession
-    amt = F.col("amount").cast(AMOUNT_DECIMAL)
-    fraud = F.col("is_fraud") == 1
     base = stg.select("merchant_id", "merchant_name", "merchant_category", "location_key",
-                      F.col("location").alias("country_code"), "latitude", "longitude", "time_key", "timestamp",
+                      F.col("location").alias("country_code"), "latitude", "longitude", "timestamp",
                       "day_of_week", "transaction_hour", "payment_method_key", "payment_method",
-                      fraud.alias("_fraud"), amt.alias("_amt"))
+                      F.coalesce(_is_fraud(), F.lit(False)).alias("_fraud"), F.col("amount").cast(AMOUNT_DECIMAL).alias("_amt"))
     cols = []
     for _, cs in _ONEPASS_SETS:
         cols += [c for c in cs if c not in cols]
@@ -337,29 +379,17 @@ def fraud_detection_metrics_onepass(stg: DataFrame) -> DataFrame:
     label = "CASE " + " ".join(f"WHEN grouping({m}) = 0 THEN '{k}'" for k, m in _ONEPASS_MARKER.items() if m) \
             + " ELSE 'f' END"
     agg = spark.sql(f"""
-        SELECT {label} AS _set, {', '.join(cols)},
-               count(*) AS n, count_if(_fraud) AS n_fraud, count(_amt) AS n_amount,
-               count_if(_fraud AND _amt IS NOT NULL) AS n_fraud_amount,
-               sum(_amt) AS s_amount, sum(CASE WHEN _fraud THEN _amt END) AS s_fraud_amount
+        SELECT {label} AS _set, {', '.join(cols)}, count(*) AS n, count(_amt) AS n_amount, sum(_amt) AS s_amount
         FROM {{base}}
         GROUP BY GROUPING SETS ({sets})""", base=base)
     agg = materialize(agg, "mart_sets")
 
-    def part(k: str, keys: list[str], extra: list) -> DataFrame:
-        df = agg.filter(F.col("_set") == k)
-        for c in keys:
-            df = df.filter(F.col(c).isNotNull())
-        return df.select(*keys, *extra)
-
-    fact = part("f", ["merchant_id", "location_key", "time_key", "payment_method_key"],
-                ["n", "n_fraud", "n_amount", "n_fraud_amount", "s_amount", "s_fraud_amount"])
-    dm = part("m", ["merchant_id"], ["merchant_category", K.merchant_risk().alias("risk_category")])
-    dl = part("l", ["location_key"], ["country_code", K.continent("country_code").alias("continent")])
-    dt = part("t", ["time_key"], [F.to_date("timestamp").alias("date"), "day_of_week",
-                                  K.time_of_day().alias("time_of_day")])
-    dpm = part("p", ["payment_method_key"], ["payment_method", K.payment_risk().alias("payment_risk_level")])
-    return _joined(fact,
-                   _weighted(dm, "merchant_id", ["merchant_category", "risk_category"], "w_merchant"),
-                   _weighted(dl, "location_key", ["country_code", "continent"], "w_location"),
-                   _weighted(dt, "time_key", ["date", "day_of_week", "time_of_day"], "w_time"),
-                   _weighted(dpm, "payment_method_key", ["payment_method", "payment_risk_level"], "w_payment"))
+    def part(k: str) -> DataFrame:
+        own = next(cs for name, cs in _ONEPASS_SETS if name == k)
+        return agg.filter(F.col("_set") == k).select(*own, *(["n", "n_amount", "s_amount"] if k == "f" else []))
+
+    fact = part("f")
+    dims = _star_dimensions(part("m").withColumn("risk_category", K.merchant_risk()),
+                            part("l").withColumn("continent", K.continent("country_code")),
+                            part("p").withColumn("payment_risk_level", K.payment_risk()))
+    return _mart(_timed(fact, dim_time(fact)), dims, _TIME_ATTRIBUTES)
