@@ -59,6 +59,11 @@ def explode_rules(df: DataFrame, outer: bool = False) -> DataFrame:
     return df.select("transaction_id", gen("fraud_rules").alias("rule"))
 
 
+#: Staged columns that the fact and the dimensions of ``fraud_by_device_and_age`` need.
+DEVICE_AGE_SOURCE = ["customer_id", "customer_name", "customer_email", "customer_age", "customer_segment", "loyalty_points",
+                     "device_id", "device_os", "device_model", "ip_address", "user_agent", "is_fraud"]
+
+
 def fraud_by_device_and_age(fact: DataFrame, dim_device: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Fact joined to device and customer dimensions, fraud counts by device type and age group.
 
