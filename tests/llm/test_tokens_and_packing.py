@@ -4,11 +4,12 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import documents, frame
-from txrisk.llm import packing, token_files
+from txrisk.llm import packing, token_files, word_bpe
 from txrisk.llm.common import scratch, write_file
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -119,3 +120,13 @@ def test_several_tasks_search(spark):
 
 def test_token_counts_of_an_empty_table(spark):
     assert token_files.document_token_counts(frame(spark, []), VOCABULARY, 49407).count() == 0
+
+
+def test_chunks_are_bounded_by_bytes_of_text():
+    texts = [str(k % 10) * (50_000 if k % 7 else 400_000) for k in range(90)] + [None, "", "x" * 900_000, "y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    parts = [word_bpe.single(t.column(1)) for t in word_bpe.chunks(iter([batch, batch.slice(0, 3)]), 1, 300_000)]
+    assert [x for p in parts for x in p.to_pylist()] == texts + texts[:3]
+    for p in parts:
+        assert len(p) == 1 or sum(len(x or "") for x in p.to_pylist()) <= 600_000
+    assert sum(len(p) > 1 for p in parts) > 5

@@ -16,8 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: Bytes of text worked on at once (more if one text is longer).
-CHUNK = 8 << 20
+from txrisk.llm.common import slices_by_bytes
+
+#: Bytes of text worked on at once (more only if one text is longer), and words whose ids are joined at once.
+CHUNK = 4 << 20
+JOINED = 1 << 16
 
 #: Composed Latin letters with one lower-case letter each, and marks that are no letters, digits or apostrophes.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -25,7 +28,7 @@ MARKS = ".,:;!?|#$%&*-"
 
 #: Runs handed to the model in one text, and runs that a worker keeps from chunk to chunk (then it starts anew).
 RUNS = 10_000
-SEEN = 400_000
+SEEN = 200_000
 
 #: Characters by which byte-level vocabularies write each byte: printable ones stand for themselves, the rest follow 256.
 _SELF = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -56,7 +59,8 @@ class WordBpe:
         index = coded.indices.to_numpy(zero_copy_only=False)
         sizes = np.array([len(x) >> 2 for x in of_word], np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes[index])])
-        return b"".join(map(of_word.__getitem__, index.tolist())), ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        ids = b"".join(b"".join(map(of_word.__getitem__, index[at: at + JOINED].tolist())) for at in range(0, len(index), JOINED))
+        return ids, ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
 
     def _words(self, words: pa.Array) -> list[bytes]:
         """Ids of distinct words."""
@@ -99,12 +103,16 @@ def load(path: str, special_as_text: bool = False) -> WordBpe:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text_at: int, least: int = CHUNK) -> Iterator[pa.Table]:
-    """The batches joined to tables of at least ``least`` bytes of text, the last one excepted."""
+    """The batches joined and cut to tables of about ``least`` bytes of text, at most twice as many; a longer text stands alone."""
     held: list[pa.RecordBatch] = []
     size = 0
-    for batch in batches:
+    for batch in slices_by_bytes(batches, text_at, least):
+        more = batch.column(text_at).nbytes
+        if held and size + more > 2 * least:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
         held.append(batch)
-        size += batch.column(text_at).nbytes
+        size += more
         if size >= least:
             yield pa.Table.from_batches(held).combine_chunks()
             held, size = [], 0
