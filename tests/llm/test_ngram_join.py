@@ -96,3 +96,32 @@ def test_width_and_percent(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs, width=5, percent=80).collect()} == {
         1: (996, 1), 2: (996, 1), 3: (1, 3), 4: (1, 3)}
     assert {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
+def test_only_tokens_of_two_documents_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "RUN", 500)
+    r = random.Random(12)
+    some = words(r, 300).split()
+    rows = [(k, " ".join(r.choices(some, k=300)), "en") for k in range(60)] + near_copies(r, 200, 20)
+    docs = frame(spark, rows).selectExpr("text", "doc_id", "xxhash64(text, doc_id) AS mark")
+    levels = spark.sparkContext.broadcast(ngram_join.sketch(docs.select("text")))
+    keyed = ngram_join.written(ngram_join._keyed(docs, levels, 4, 85), "sets")
+    tokens = defaultdict(list)
+    for row in keyed.collect():
+        for t in row.prefix:
+            tokens[t].append((row.node, row.n))
+    shared = sorted((node, n, t) for t, held in tokens.items() if len(held) > 1 for node, n in held)
+    got = sorted((x.node, x.n, x.token) for x in ngram_join._meeting(keyed).collect())
+    assert len(tokens) > 4 * len(shared) > 0
+    assert set(shared) <= set(got) and len(got) <= len(shared) + 0.1 * len(tokens)
+
+
+def test_sets_travel_as_texts_smaller_than_their_shingles(spark):
+    rows = [(k, words(random.Random(k), 400), "en") for k in range(20)] + [(30, None, "en"), (31, " \n", "en"), (32, "x" * 3_000_000 + " y", "en")]
+    docs = frame(spark, rows).selectExpr("text", "doc_id", "xxhash64(text, doc_id) AS mark")
+    levels = spark.sparkContext.broadcast(ngram_join.sketch(docs.select("text")))
+    every = spark.sparkContext.broadcast(ngram_join.np.full(1 << 13, 255, ngram_join.np.uint8))
+    sent = ngram_join._texts(docs, levels, every, 4, 85).collect()
+    sizes = {x.node: x.n for x in ngram_join._keyed(docs, levels, 4, 85).collect() if x.n}
+    assert {x.node for x in sent} == set(sizes) and len(sent) == 21
+    assert all(len(x.packed) < 0.5 * 9 * sizes[x.node] for x in sent if sizes[x.node] > 1) and min(len(x.packed) for x in sent) < 1000

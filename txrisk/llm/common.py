@@ -198,11 +198,11 @@ def bit_filter(rows: DataFrame, value: str, count: int) -> np.ndarray:
     """
     size = 1 << min(FILTER_BITS, max(16, (32 * count).bit_length()))
     found = (rows.selectExpr(f"({value}) & {size - 1} AS place")
-             .selectExpr("shiftright(place, 3) AS byte", "shiftleft(1, cast(place & 7 AS int)) AS bit")
-             .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow())
-    out = np.zeros(size // 8, np.uint8)
-    out[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
-    return out
+             .selectExpr("shiftright(place, 6) AS word", "shiftleft(1L, cast(place & 63 AS int)) AS bit")
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(size // 64, "<i8")
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint8)
 
 
 def in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -8,12 +8,14 @@ sets are compared exactly.
 The orders need only be the same everywhere.  All are made from how rare a shingle's words are, by a count sketch over
 the words of all documents (a table of fixed size): order 1 goes by the rarest word, then by all four; order 2 by all
 four, then by the rarest; order 3 by the rarest, then by a hash.  A shingle with a word that occurs once in the whole
-corpus stands in no other document: it has its place in the prefix, but nobody is met there.  Passages that many
-documents share come last.
+corpus stands in no other document: it has its place in the prefix, but nobody is met there.  Nor is anybody met under
+a prefix token that stands in one document only; such tokens are found by sorted runs of their hashes, three bytes or so
+a token, and only the others are shuffled with their documents.  Passages that many documents share come last.
 
 No pairs are emitted.  Documents that share a token meet at the list's smallest set key (the pivot), so that lists with
 many common members become one.  A task compares a block of a list, with its pivot, by matrix products, and
-returns a spanning forest.  Only if a list has more than one block, blocks of documents outside the list's largest
+returns a spanning forest.  The sets travel as compressed texts, which are smaller than their shingles, and are made anew where they
+are compared.  Only if a list has more than one block, blocks of documents outside the list's largest
 component are then compared with all other blocks; pairs inside that component need no comparison.  Equal sets are one
 node throughout.  A hot list is thus cut into bounded tasks, and true copies cost time in proportion to their number.
 
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, utf8, written
@@ -44,6 +47,9 @@ SET_ROWS = 256
 SKETCH_BITS, BLOCK = 24, 256
 SLICES = 64
 
+#: Prefix tokens sorted at once by a task, and about as many in one slice of all; bytes of text made into sets at once.
+RUN, SLICE_TOKENS, TEXT_BYTES = 1 << 22, 1 << 21, 2 << 20
+
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,7 +137,8 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, node, prefix): size, set key and order-1 prefix tokens of every document, but for tokens that only it has."""
+    """(doc_id, mark, n, node, prefix): size, set key and order-1 prefix tokens of every document, but for tokens with a word that
+    occurs once in all."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,30 +146,78 @@ def _keyed(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
             chosen = sets.prefix(0) & (sets.least > 0)
             ends = np.concatenate([[0], np.cumsum(chosen)])[sets.first]
             prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sets.key[chosen].astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets.n), pa.array(sets.set_keys()), prefix],
-                                             ["doc_id", "n", "node", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sets.n), pa.array(sets.set_keys()), prefix],
+                                             ["doc_id", "mark", "n", "node", "prefix"])
+
+    return docs.mapInArrow(task, "doc_id long, mark long, n long, node long, prefix array<long>")
 
-    return docs.mapInArrow(task, "doc_id long, n long, node long, prefix array<long>")
 
+def _meeting(keyed: DataFrame) -> DataFrame:
+    """(node, n, token): the prefix tokens that stand in two rows at least, and a few others.
 
-def _sets(docs: DataFrame, levels, wanted, width: int, percent: int) -> DataFrame:
-    """(node, shingles, orders): the sets of representatives in the filter, with each shingle's prefixes as bits."""
+    Tokens are counted by their top bits, as sorted runs of differences in slices; those found twice make a bit filter.
+    """
+    tokens = keyed.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    slices = 1 << max(4, (tokens // SLICE_TOKENS).bit_length())
+    shift = np.uint64(32 - (slices.bit_length() - 1))
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        value = np.sort(np.concatenate(held)) >> shift
+        more = np.ones(len(value), bool)
+        more[2:] = value[2:] != value[:-2]  # two of a kind tell as much as many
+        value = value[more]
+        ends = np.searchsorted(value, np.arange(slices + 1, dtype=np.uint64) << np.uint64(32))
+        runs = [(k, b - a, pa.compress(np.diff(value[a:b].astype("<u4"), prepend=np.uint32(0)).tobytes(), "zstd", asbytes=True))
+                for k, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())) if a < b]
+        kinds = (pa.int32(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*runs), kinds)], ["slice", "size", "run"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            ids = batch.column(1).fill_null(0).to_numpy()
-            sets = Shingles(batch.column(0), levels.value, width, percent)
-            nodes = sets.set_keys()
-            rows = np.flatnonzero((sets.n > 0) & in_filter(wanted.value, nodes ^ ids))
-            flags = np.zeros(len(sets.key), np.uint8)
-            for order in range(3):
-                flags |= sets.prefix(order).astype(np.uint8) << order
-            at = [(int(sets.first[r]), int(sets.first[r + 1])) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[rows]), pa.array([sets.key[a:b].tobytes() for a, b in at], pa.binary()),
-                 pa.array([flags[a:b].tobytes() for a, b in at], pa.binary())], ["node", "shingles", "orders"])
+            held.append(batch.column(0).flatten().to_numpy().view(np.uint64))
+            if sum(map(len, held)) >= RUN:
+                yield packed(held)
+                held = []
+        if any(map(len, held)):
+            yield packed(held)
+
+    def merge(key: tuple, runs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value = np.sort(np.concatenate([np.cumsum(np.frombuffer(pa.decompress(run, 4 * size, "zstd"), "<u4"), dtype=np.uint32)
+                                        for table in runs for size, run in zip(*(table.column(c).to_pylist() for c in ("size", "run")))]))
+        twice = np.unique(value[1:][value[1:] == value[:-1]]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(twice + (key[0].as_py() << 32))], ["value"])
+
+    found = written(keyed.select("prefix").mapInArrow(task, "slice int, size long, run binary").groupBy("slice")
+                    .applyInArrow(merge, "value long"), "repeated")
+    wanted = keyed.sparkSession.sparkContext.broadcast(bit_filter(found, "value", found.count()))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            token = batch.column(2).flatten().to_numpy()
+            of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(2)).to_numpy())
+            at = np.flatnonzero(in_filter(wanted.value, (token.view(np.uint64) >> shift).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[at])), batch.column(1).take(pa.array(of[at])), pa.array(token[at])],
+                                             ["node", "n", "token"])
+
+    return keyed.filter("n > 0").select("node", "n", "prefix").mapInArrow(rows, "node long, n long, token long")
 
-    return docs.mapInArrow(task, "node long, shingles binary, orders binary")
+
+def _texts(docs: DataFrame, levels, wanted, width: int, percent: int) -> DataFrame:
+    """(node, size, packed): the texts of representatives in the filter, compressed."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.flatnonzero(in_filter(wanted.value, batch.column(2).to_numpy()))
+            texts = batch.column(0).take(pa.array(rows)).cast(pa.large_binary())
+            sets = Shingles(texts, levels.value, width, percent)
+            some = pa.array(sets.n > 0)
+            raw = texts.filter(some).to_pylist()
+            packed = [pa.compress(x, "zstd", asbytes=True) for x in raw]
+            yield pa.RecordBatch.from_arrays([pa.array(sets.set_keys()).filter(some), pa.array([len(x) for x in raw], pa.int64()),
+                                              pa.array(packed, pa.binary())], ["node", "size", "packed"])
+
+    return docs.mapInArrow(task, "node long, size long, packed binary")
 
 
 def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray | None, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -223,23 +278,37 @@ def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray |
     return out
 
 
-def _verified(rows: DataFrame, across: bool, percent: int) -> DataFrame:
-    """Links (a, b) inside every group ``pivot, tile`` of rows (pivot, tile, side, node, shingles, orders)."""
+def _unpacked(batch: pa.RecordBatch, levels: np.ndarray, width: int, percent: int) -> Iterator[dict]:
+    """The rows with their set's shingles (``keys``) and each shingle's prefixes as bits (``flags``)."""
+    rows = batch.to_pylist()
+    ends, at = np.cumsum([r["size"] for r in rows]), 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, "right")))
+        texts = [pa.decompress(r["packed"], r["size"], "zstd", asbytes=True) for r in rows[at:to]]
+        sets = Shingles(pa.array(texts, pa.large_binary()), levels, width, percent)
+        flags = np.zeros(len(sets.key), np.uint8)
+        for order in range(3):
+            flags |= sets.prefix(order).astype(np.uint8) << order
+        for r, a, b in zip(rows[at:to], sets.first, sets.first[1:]):
+            yield {"pivot": r["pivot"], "tile": r["tile"], "side": r["side"], "node": r["node"], "keys": sets.key[a:b].copy(), "flags": flags[a:b].copy()}
+        at = to
+
+
+def _verified(rows: DataFrame, across: bool, levels, width: int, percent: int) -> DataFrame:
+    """Links (a, b) inside every group ``pivot, tile`` of rows (pivot, tile, side, node, size, packed)."""
 
     def group(held: list[dict]) -> list[tuple[int, int]]:
         held = list({r["node"]: r for r in held}.values())
         if len(held) < 2:
             return []
-        keys = [np.frombuffer(r["shingles"], np.uint64) for r in held]
-        flags = [np.frombuffer(r["orders"], np.uint8) for r in held]
         side = np.array([r["side"] for r in held]) if across and len({r["side"] for r in held}) > 1 else None
-        return [(held[a]["node"], held[b]["node"]) for a, b in linked(keys, flags, side, percent)]
+        return [(held[a]["node"], held[b]["node"]) for a, b in linked([r["keys"] for r in held], [r["flags"] for r in held], side, percent)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for r in batch.to_pylist():
+            for r in _unpacked(batch, levels.value, width, percent):
                 if held and (held[0]["pivot"], held[0]["tile"]) != (r["pivot"], r["tile"]):
                     out += group(held)
                     held = []
@@ -284,36 +353,37 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     spark = docs.sparkSession
     batches_of(spark, SET_ROWS)
     docs = docs.select(F.col(text_column).cast("string").alias("text"), F.col(id_column).cast("long").alias("doc_id"))
-    levels = spark.sparkContext.broadcast(sketch(docs))
+    docs = docs.withColumn("mark", F.xxhash64("text", "doc_id"))
+    levels = spark.sparkContext.broadcast(sketch(docs.select("text")))
     keyed = written(_keyed(docs, levels, width, percent), "sets")
-    nodes = keyed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    nodes = keyed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("mark").alias("mark"))
 
     # in a token's list, by size: a step beyond the similarity parts documents that cannot be linked across it
     by_size = Window.partitionBy("token").orderBy("n")
     step = (100 * F.lag("n").over(by_size) < percent * F.col("n")).cast("int")
     island = Window.partitionBy("token", "island")
-    meet = (keyed.filter("n > 0").select("node", "n", F.explode("prefix").alias("token"))
+    meet = (_meeting(keyed)
             .withColumn("step", F.coalesce(step, F.lit(0)))
             .withColumn("island", F.sum("step").over(by_size.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("pivot", F.min("node").over(island)).withColumn("last", F.max("node").over(island))
             .filter(F.col("pivot") != F.col("last")).select("pivot", "node").distinct())
     members = written(meet.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("pivot"))), "members")
 
-    met = members.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
-    wanted = spark.sparkContext.broadcast(bit_filter(met, "node ^ rep", members.count()))
-    sets = _sets(docs, levels, wanted, width, percent)
+    met = members.select("node").distinct().join(nodes, "node")
+    wanted = spark.sparkContext.broadcast(bit_filter(met, "mark", members.count()))
+    texts = _texts(docs, levels, wanted, width, percent)
 
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     first = members.select("pivot", "node", F.explode(F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), blocks - 1))
                                                       .otherwise(F.array(F.pmod(F.xxhash64("node"), blocks).cast("int")))).alias("block"))
     first = first.select("pivot", "node", F.col("block").cast("string").alias("tile"), F.lit(0).alias("side"))
-    links = written(_verified(first.join(sets, "node"), False, percent), "links")
+    links = written(_verified(first.join(texts, "node"), False, levels, width, percent), "links")
     labels = components(links)
     if not members.filter(F.col("m") > BLOCK).isEmpty():
         tiles = written(_tiles(members, labels), "tiles")
-        again = tiles.select("node").distinct().join(nodes, "node").withColumn("rep", F.coalesce("rep", F.lit(0)))
-        wanted = spark.sparkContext.broadcast(bit_filter(again, "node ^ rep", tiles.count()))
-        more = written(_verified(tiles.join(_sets(docs, levels, wanted, width, percent), "node"), True, percent), "links")
+        again = tiles.select("node").distinct().join(nodes, "node")
+        wanted = spark.sparkContext.broadcast(bit_filter(again, "mark", tiles.count()))
+        more = written(_verified(tiles.join(_texts(docs, levels, wanted, width, percent), "node"), True, levels, width, percent), "links")
         labels = components(links.unionByName(more))
     batches_of(spark)
 
