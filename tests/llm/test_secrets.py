@@ -6,6 +6,7 @@ import numpy as np
 
 from tests.llm.helpers import documents, frame
 from txrisk.llm import secrets
+from txrisk.llm.common import smallest
 
 
 def brute(text):
@@ -95,3 +96,37 @@ def test_recall_holds_where_scores_overlap():
     model.calibrate(x, y, 0.98)
     kept = model.score(x) >= model.threshold
     assert kept[y == 1].mean() >= 0.98 and not kept.all()
+
+
+def test_every_finding_trains_and_calibrates(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(i, f"{r.randrange(10**6)} token = {''.join(r.choice('0123456789abcdef') for _ in range(32))} x{i}", "en") for i in range(2600)]
+    rows += [(5000 + i, f"order no {r.randrange(10**15, 10**16)}77 of {i}", "en") for i in range(2600)]
+    docs = frame(spark, rows)
+    found = secrets.labelled(docs).collect()
+    assert len(found) >= 5200
+    seen = []
+    monkeypatch.setattr(secrets, "PIECE", 500)
+    improved, calibrate = secrets._improved, secrets._calibrate
+    monkeypatch.setattr(secrets, "_improved", lambda rows, *a: seen.append(rows.count()) or improved(rows, *a))
+    monkeypatch.setattr(secrets, "_calibrate", lambda rows, *a: seen.append(rows.count()) or calibrate(rows, *a))
+    model = secrets.train(docs)
+    assert len(seen) == secrets.ROUNDS + 1 and seen[0] + seen[-1] == len(found)
+    x = np.array([np.frombuffer(f.seen, np.int16) for f in found])
+    y, held = np.array([f.label for f in found]), np.array([f.deal & 1 for f in found], bool)
+    kept = model.score(x) >= model.threshold
+    assert kept[held & (y == 1)].mean() >= 0.98 and kept[y == 0].mean() <= 0.05
+    true = np.sort(model.score(x[held & (y == 1)]))
+    assert abs(model.threshold - true[int((1 - 0.98) * len(true))]) < 1e-9
+    assert model.temperature in secrets.TEMPERATURES
+    other = secrets.train(docs)
+    assert other.threshold == model.threshold and all((other.w[k] == v).all() for k, v in model.w.items())
+
+
+def test_smallest_is_exact(spark):
+    r = random.Random(3)
+    values = [(r.choice([r.random(), r.random() * 1e6, 5.0, -3.0]), r.randint(1, 3)) for _ in range(700)]
+    rows = spark.createDataFrame(values, "value double, n int")
+    every = sorted(v for v, n in values for _ in range(n))
+    for k in (0, 1, 17, len(every) // 2, len(every) - 1):
+        assert smallest(rows, k) == every[k]

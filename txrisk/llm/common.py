@@ -187,6 +187,28 @@ class WordScan:
         return at, mix(h[at])
 
 
+#: Bins in which a value is looked for by its place.
+BINS = 1024
+
+
+def smallest(rows: DataFrame, k: int) -> float:
+    """The value with ``k`` others before it, of rows (value double, n: how often it counts), by counts in bins that get narrower."""
+    low, high = rows.agg(F.min("value"), F.max("value")).first()
+    while low < high:
+        step = (high - low) / BINS
+        if low + step <= low or high - step >= high:  # as narrow as numbers are
+            break
+        place = F.least(F.floor((F.col("value") - low) / step), F.lit(BINS - 1))
+        bins = (rows.filter(F.col("value").between(low, high)).groupBy(place.alias("place"))
+                .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).sort("place").collect())
+        for b in bins:
+            if k < b["n"]:
+                low, high = b["low"], b["high"]
+                break
+            k -= b["n"]
+    return float(low)
+
+
 #: Most bits of a filter (8 MiB).
 FILTER_BITS = 26
 
