@@ -113,3 +113,15 @@ def test_short_notices_inside_prose_are_named(spark, licence_model):
     docs = frame(spark, [(i, t, "en") for i, t in enumerate(lines.values())])
     got = {r.doc_id: [x.family for x in r.licences] for r in licences.scan(docs, licence_model).collect()}
     assert got == {i: [f] if f else [] for i, f in enumerate(lines)}
+
+
+def test_every_ordinary_paragraph_counts(spark):
+    common, rare = "the public may work under these terms", "free software in general"
+    rows = [(k, "\n".join([f"{common} {k}", "plain words only", f"{rare} {k}", "a licence line"]), "en") for k in range(300)]
+    rows += [(400, None, "en"), (401, " \n ", "en")]
+    got = {tuple(r.at): 0 for r in licences.counted(frame(spark, rows)).collect()}
+    for r in licences.counted(frame(spark, rows)).collect():
+        got[tuple(r.at)] += r.n
+    assert sum(got.values()) == 900 and got[()] == 300 and sorted(got.values()) == [300, 300, 300]
+    names = {frozenset(licences.VOCABULARY[i] for i in at) for at in got}
+    assert any({"public", "terms"} <= x for x in names) and any("software" in x for x in names)

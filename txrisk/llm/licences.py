@@ -2,11 +2,12 @@
 
 Paragraphs (lines of a text) are classified by a logistic regression over a sparse set of word 1- and 2-grams, the
 n-grams of the licence templates without those of function words.  It is trained on the templates, each also with words
-left out, against a bounded sample of ordinary paragraphs as the class ``unknown``.  A paragraph is given to a family
-only above a threshold calibrated on held-out ordinary paragraphs, and only if its words, or a stretch of them, match a
+left out, against all ordinary paragraphs of the corpus as the class ``unknown``: they are counted by the n-grams that
+they have, and together weigh ``ORDINARY`` at most.  A paragraph is given to a family
+only above a threshold calibrated on the held-out half of the ordinary paragraphs, and only if its words, or a stretch of them, match a
 template of the family.
 
-DataFrame functions only, inside the scan: no shuffle of texts, no Python.
+DataFrame functions only: no shuffle of texts, no Python.
 
 Defined results: null and empty texts have no paragraphs; a paragraph without any n-gram of the model is ``unknown``;
 repeated rows are judged alike; an empty table gives no rows; other columns are not read.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from txrisk.llm.common import smallest, written
 from txrisk.llm.linear import doubles, fit, let, strings
 
 #: Licence notices by family (fixed values).
@@ -40,8 +42,11 @@ FAMILIES = sorted(TEMPLATES)
 #: Words without features of their own (fixed values).
 FUNCTION_WORDS = set("a an and any are be by can for in is it may met not of or that the this to under use with without you".split())
 
-#: Most ordinary paragraphs used for training and calibration, drawn by hash, and share of them let through.
-MOST_ORDINARY, LET_THROUGH = 4000, 0.001
+#: Most weight of all ordinary paragraphs in training (a template's is 20), and share of those held out that is let through.
+ORDINARY, LET_THROUGH = 2000.0, 0.001
+
+#: Sets of n-grams for one task of the fit.
+TASK_SETS = 100_000
 
 #: Share of words that a paragraph and a template must have in common (twice the common words over all words).
 CONFIRMED = 0.7
@@ -90,28 +95,38 @@ def _variants(text: str) -> list[str]:
     return [text] + [" ".join(x for i, x in enumerate(w) if i % 5 != k) for k in range(5) if len(w) > 5]
 
 
-def train(docs: DataFrame, most: int = MOST_ORDINARY, text_column: str = "text") -> tuple[list[list[float]], list[float], float]:
+def counted(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """(at, held, n): ordinary paragraphs of all texts by their places in the vocabulary, half of them, by hash, held out."""
+    plain = (docs.select(F.explode(paragraphs(F.col(text_column))).alias("p"))
+             .filter(~F.lower("p").rlike("licen[sc]|copyright|spdx|creative commons")))
+    at = F.when(F.col("p").rlike(CUE), F.array_sort(places(grams(words(F.col("p")))))).otherwise(F.array().cast("array<int>"))
+    found = plain.select(at.alias("at"), (F.xxhash64("p") % 2 == 0).alias("held"))
+    return found.groupBy("at", "held").agg(F.count(F.lit(1)).alias("n")).sort("at", "held")
+
+
+def train(docs: DataFrame, text_column: str = "text") -> tuple[list[list[float]], list[float], float]:
     """Weights and intercepts by class (families, then unknown), and the calibrated threshold."""
     spark = docs.sparkSession
-    line = F.explode(F.slice(F.shuffle(paragraphs(F.col(text_column)), seed=F.lit(11)), 1, 1)).alias("p")
-    plain = docs.select(line).filter(~F.lower("p").rlike("licen[sc]|copyright|spdx|creative commons"))
-    dealt = plain.select("p", F.xxhash64("p").alias("deal"))
-    # about four times as many as are needed, so that no task sorts more as the corpus grows
-    share = min(1.0, 4 * most / max(docs.count(), 1))
-    ordinary = (dealt.filter(F.pmod("deal", F.lit(1 << 31)) < int(share * (1 << 31))).distinct().orderBy("deal", "p").limit(most)
-                .select(grams(words(F.col("p"))).alias("features"), (F.col("deal") % 2 == 0).alias("held"))).cache()
+    ordinary = written(counted(docs, text_column), "ordinary")
+    size = {r["held"]: (r["sets"], r["n"]) for r in ordinary.groupBy("held").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("n")).collect()}
+    sets, total = size.get(False, (0, 0))
     known = spark.createDataFrame([(v, float(k)) for k, f in enumerate(FAMILIES) for t in TEMPLATES[f] for v in _variants(t)],
                                   "p string, label double")
     unknown = F.lit(float(len(FAMILIES))).alias("label")
+    names = strings(VOCABULARY)
     rows = known.select(grams(words(F.col("p"))).alias("features"), "label", F.lit(20.0).alias("weight")).unionByName(
-        ordinary.filter("not held").select("features", unknown, F.lit(1.0).alias("weight"))).unionByName(
+        ordinary.filter("not held").select(F.transform("at", lambda i: F.get(names, i)).alias("features"), unknown,
+                                           (F.col("n") * F.lit(min(1.0, ORDINARY / max(total, 1)))).alias("weight"))).unionByName(
         spark.range(1).select(F.array().cast("array<string>").alias("features"), unknown, F.lit(20.0).alias("weight")))
-    weights, intercepts = fit(spark, rows, VOCABULARY, len(FAMILIES) + 1, 0.002, 0.5, 40)
-    held = (ordinary.filter("held").select(places(F.col("features")).alias("at"))
-            .select(powers(F.col("at"), (weights, intercepts)).alias("power")).select(best(F.col("power"))[1].alias("x")))
-    top = held.agg(F.percentile("x", F.lit(1 - LET_THROUGH)).alias("t")).first()["t"]
-    ordinary.unpersist()
-    return weights, intercepts, max(0.5, top or 0.0)
+    weights, intercepts = fit(spark, rows, VOCABULARY, len(FAMILIES) + 1, 0.002, 0.5, 40, 1 + sets // TASK_SETS)
+    top, held = 0.0, size.get(True, (0, 0))[1]
+    if held:
+        scored = written(ordinary.filter("held").select("n", powers(F.col("at"), (weights, intercepts)).alias("power"))
+                         .select("n", best(F.col("power"))[1].alias("value")), "scores")
+        place = (1 - LET_THROUGH) * (held - 1)
+        low, high = smallest(scored, int(place)), smallest(scored, -int(-place // 1))
+        top = low + (place - int(place)) * (high - low)
+    return weights, intercepts, max(0.5, top)
 
 
 def places(features: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Logistic regression on small labelled tables, fitted by Spark ML in the JVM and scored with SQL functions."""
+"""Logistic regression on labelled tables, fitted by Spark ML in the JVM and scored with SQL functions."""
 
 from __future__ import annotations
 
@@ -23,14 +23,14 @@ def let(value: Column, body) -> Column:
 
 
 def fit(spark: SparkSession, rows: DataFrame, vocabulary: list[str], classes: int, strength: float, sparse: float,
-        iterations: int) -> tuple[list[list[float]], list[float]]:
+        iterations: int, tasks: int = 1) -> tuple[list[list[float]], list[float]]:
     """Weights by class and feature, and intercepts, from ``rows`` (features array<string>, label double, weight double).
 
     ``strength`` and ``sparse``: elastic-net penalty and its share of absolute values.  Two classes give one row of
-    weights, for class 1.
+    weights, for class 1.  ``tasks``: most tasks over the rows.
     """
     counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="features", outputCol="vector")
     learner = LogisticRegression(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=iterations, regParam=strength,
                                  elasticNetParam=sparse, family="binomial" if classes == 2 else "multinomial")
-    model = learner.fit(counts.transform(rows).coalesce(1))
+    model = learner.fit(counts.transform(rows).coalesce(tasks))
     return model.coefficientMatrix.toArray().tolist(), [float(x) for x in model.interceptVector]
