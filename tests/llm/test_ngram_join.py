@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from tests.llm.helpers import documents, frame, words
-from txrisk.llm import ngram_join
+from txrisk.llm import common, ngram_join
 from txrisk.llm.components import components
 
 
@@ -125,3 +125,35 @@ def test_sets_travel_as_texts_smaller_than_their_shingles(spark):
     sizes = {x.node: x.n for x in ngram_join._keyed(docs, levels, 4, 85).collect() if x.n}
     assert {x.node for x in sent} == set(sizes) and len(sent) == 21
     assert all(len(x.packed) < 0.5 * 9 * sizes[x.node] for x in sent if sizes[x.node] > 1) and min(len(x.packed) for x in sent) < 1000
+
+
+def test_texts_are_taken_in_pieces_of_bounded_bytes(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TEXT_BYTES", 300)
+    rows = documents() + near_copies(random.Random(6), 700, 12)
+    docs = frame(spark, rows)
+    levels = spark.sparkContext.broadcast(ngram_join.sketch(docs.select("text")))
+    marked = docs.selectExpr("text", "doc_id", "xxhash64(text, doc_id) AS mark")
+    sizes = spark.sparkContext.accumulator(0)
+
+    class Counted(ngram_join.Shingles):
+        def __init__(self, column, *more):
+            sizes.add(int(len(column) > 1 and sum(len(x or "") for x in column.to_pylist()) > 300))
+            super().__init__(column, *more)
+
+    monkeypatch.setattr(ngram_join, "Shingles", Counted)
+    assert ngram_join._keyed(marked, levels, 4, 85).count() == len(rows) and sizes.value == 0
+    monkeypatch.undo()
+    monkeypatch.setattr(ngram_join, "TEXT_BYTES", 300)
+    assert result(docs) == brute(rows)
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(True)
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    task = common.trimmed(lambda batches: (2 * b for b in batches))
+    assert list(task(iter([1, 2]))) == [2, 4] and given == [True]

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txrisk.llm.common import batches_of, mix, slices_by_bytes, utf8, written
+from txrisk.llm.common import batches_of, mix, slices_by_bytes, trimmed, utf8, written
 
 ORDER = 4
 PLACES = ["a", "b", "c", "d"]
@@ -110,7 +110,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
     batches_of(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    return (rows.mapInArrow(task, "key long, lang string, a int, b int, c int, d int, n long")
+    return (rows.mapInArrow(trimmed(task), "key long, lang string, a int, b int, c int, d int, n long")
             .groupBy("key", "lang", *PLACES).agg(F.sum("n").alias("n")))
 
 
@@ -196,6 +196,6 @@ def joined_means(docs: DataFrame, table: DataFrame) -> DataFrame:
                                              ["text_key", "key", "n"])
 
     once = docs.select("text", "lang", "text_key").dropDuplicates(["text_key"])
-    seen = once.mapInArrow(task, "text_key long, key long, n long")
+    seen = once.mapInArrow(trimmed(task), "text_key long, key long, n long")
     return (seen.join(table, "key").groupBy("text_key")
             .agg((-F.sum(F.col("n") * F.col("log_p")) / F.sum("n")).alias("char_score")))

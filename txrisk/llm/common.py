@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -67,6 +68,21 @@ def batches_of(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def trimmed(task):
+    """A task over Arrow batches that gives its freed memory back at its end, as Spark keeps the worker for later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run
+
+
 #: Bytes of one column that ``slices_by_bytes`` lets into one batch.
 SLICE_BYTES = 2 << 20
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from txrisk.llm.common import WordScan, batches_of, utf8
+from txrisk.llm.common import WordScan, batches_of, trimmed, utf8
 
 #: Shortest tile, least coverage of an item, and words of the benchmark sent at once.
 SEED, COVERAGE, BLOCK_WORDS = 5, 0.5, 2_000_000
@@ -144,7 +144,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, covera
                      pa.array([f[3] / n for f, n in zip(found, size)], pa.float64())],
                     ["doc_id", "item_id", "n_tiles", "covered_words", "item_words", "coverage"])
 
-        out = out.unionByName(rows.mapInArrow(task, schema))
+        out = out.unionByName(rows.mapInArrow(trimmed(task), schema))
     return out
 
 
@@ -161,5 +161,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: flo
                 bad = {f[0] for f in _matches(words_of(pc.cast(batch.column(at), pa.string())), sent.value, coverage)}
                 yield batch.filter(pa.array([r not in bad for r in range(batch.num_rows)], pa.bool_()))
 
-        out = out.mapInArrow(task, docs.schema)
+        out = out.mapInArrow(trimmed(task), docs.schema)
     return out

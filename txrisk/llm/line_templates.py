@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, utf8, written
+from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, trimmed, utf8, written
 
 #: Leading tokens of a leaf, least tokens of a line that counts, and of one whose places are looked at.
 LEADING, LEAST, LONG = 3, 3, 6
@@ -77,7 +77,7 @@ def _counted(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(lines.leaf[by]), pa.array(lines.key[by]), pa.array(lines.size[by]),
                                               batch.column(1).take(pa.array(lines.row[by]))], ["leaf", "key", "size", "doc_id"])
 
-    lines = lambda some: some.select("text", "doc_id").mapInArrow(task, "leaf long, key long, size long, doc_id long")
+    lines = lambda some: some.select("text", "doc_id").mapInArrow(trimmed(task), "leaf long, key long, size long, doc_id long")
     named = docs.filter("doc_id IS NOT NULL")
     # an id that comes in several rows is one document: its lines are counted once; all other rows need no comparison
     again = written(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
@@ -102,7 +102,7 @@ def _tokens(docs: DataFrame, wanted) -> DataFrame:
                 [pa.array(lines.key[at]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.token[within].astype(np.int64)))],
                 ["key", "tokens"])
 
-    return docs.select("text").mapInArrow(task, "key long, tokens array<long>").dropDuplicates(["key"])
+    return docs.select("text").mapInArrow(trimmed(task), "key long, tokens array<long>").dropDuplicates(["key"])
 
 
 def _recurring(docs: DataFrame, min_docs: int, part: float, share: float, passage: int | None, passage_docs: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _lost(docs: DataFrame, wanted) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(2).take(rows), batch.column(1).take(rows), pa.array(lines.number[at].astype(np.int32)),
                                               pa.array(lines.key[at])], ["row_key", "doc_id", "number", "key"])
 
-    return docs.select("text", "doc_id", "row_key").mapInArrow(task, "row_key long, doc_id long, number int, key long")
+    return docs.select("text", "doc_id", "row_key").mapInArrow(trimmed(task), "row_key long, doc_id long, number int, key long")
 
 
 def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, part: float = PART, share: float = SHARE,

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, utf8, written
+from txrisk.llm.common import WordScan, batches_of, bit_filter, in_filter, mix, slices_by_bytes, trimmed, utf8, written
 from txrisk.llm.components import components
 
 #: Words of a shingle and least similarity in percent, if the caller gives none.
@@ -48,7 +48,7 @@ SKETCH_BITS, BLOCK = 24, 256
 SLICES = 64
 
 #: Prefix tokens sorted at once by a task, and about as many in one slice of all; bytes of text made into sets at once.
-RUN, SLICE_TOKENS, TEXT_BYTES = 1 << 22, 1 << 21, 2 << 20
+RUN, SLICE_TOKENS, TEXT_BYTES = 1 << 20, 1 << 21, 1 << 18
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,7 +105,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for batch in batches:
+        for batch in slices_by_bytes(batches, 0, TEXT_BYTES):
             data, offsets = utf8(batch.column(0))
             at, n = np.unique(WordScan(data, offsets, lower=True).hash >> np.uint64(64 - SKETCH_BITS), return_counts=True)
             counts[at] += n.astype(np.uint32)
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
         level = np.where(few < 16, few, np.minimum(8 + 2 * np.log2(np.maximum(few, 1)), 63)).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["part", "levels"])
 
-    parts = (docs.mapInArrow(task, "part int, size long, places binary, sums binary").groupBy("part")
+    parts = (docs.mapInArrow(trimmed(task), "part int, size long, places binary, sums binary").groupBy("part")
              .applyInArrow(merge, "part int, levels binary").collect())
     out = np.zeros((SLICES, part), np.uint8)
     for row in parts:
@@ -141,7 +141,7 @@ def _keyed(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
     occurs once in all."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices_by_bytes(batches, 0, TEXT_BYTES):
             sets = Shingles(batch.column(0), levels.value, width, percent)
             chosen = sets.prefix(0) & (sets.least > 0)
             ends = np.concatenate([[0], np.cumsum(chosen)])[sets.first]
@@ -149,7 +149,7 @@ def _keyed(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sets.n), pa.array(sets.set_keys()), prefix],
                                              ["doc_id", "mark", "n", "node", "prefix"])
 
-    return docs.mapInArrow(task, "doc_id long, mark long, n long, node long, prefix array<long>")
+    return docs.mapInArrow(trimmed(task), "doc_id long, mark long, n long, node long, prefix array<long>")
 
 
 def _meeting(keyed: DataFrame) -> DataFrame:
@@ -188,7 +188,7 @@ def _meeting(keyed: DataFrame) -> DataFrame:
         twice = np.unique(value[1:][value[1:] == value[:-1]]).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(twice + (key[0].as_py() << 32))], ["value"])
 
-    found = written(keyed.select("prefix").mapInArrow(task, "slice int, size long, run binary").groupBy("slice")
+    found = written(keyed.select("prefix").mapInArrow(trimmed(task), "slice int, size long, run binary").groupBy("slice")
                     .applyInArrow(merge, "value long"), "repeated")
     wanted = keyed.sparkSession.sparkContext.broadcast(bit_filter(found, "value", found.count()))
 
@@ -200,14 +200,14 @@ def _meeting(keyed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[at])), batch.column(1).take(pa.array(of[at])), pa.array(token[at])],
                                              ["node", "n", "token"])
 
-    return keyed.filter("n > 0").select("node", "n", "prefix").mapInArrow(rows, "node long, n long, token long")
+    return keyed.filter("n > 0").select("node", "n", "prefix").mapInArrow(trimmed(rows), "node long, n long, token long")
 
 
 def _texts(docs: DataFrame, levels, wanted, width: int, percent: int) -> DataFrame:
     """(node, size, packed): the texts of representatives in the filter, compressed."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices_by_bytes(batches, 0, TEXT_BYTES):
             rows = np.flatnonzero(in_filter(wanted.value, batch.column(2).to_numpy()))
             texts = batch.column(0).take(pa.array(rows)).cast(pa.large_binary())
             sets = Shingles(texts, levels.value, width, percent)
@@ -217,7 +217,7 @@ def _texts(docs: DataFrame, levels, wanted, width: int, percent: int) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(sets.set_keys()).filter(some), pa.array([len(x) for x in raw], pa.int64()),
                                               pa.array(packed, pa.binary())], ["node", "size", "packed"])
 
-    return docs.mapInArrow(task, "node long, size long, packed binary")
+    return docs.mapInArrow(trimmed(task), "node long, size long, packed binary")
 
 
 def linked(keys: list[np.ndarray], flags: list[np.ndarray], cross: np.ndarray | None, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -317,7 +317,7 @@ def _verified(rows: DataFrame, across: bool, levels, width: int, percent: int) -
         yield _links(group(held))
 
     spread = rows.repartition("pivot", "tile").sortWithinPartitions("pivot", "tile")
-    return spread.mapInArrow(task, "a long, b long").distinct()
+    return spread.mapInArrow(trimmed(task), "a long, b long").distinct()
 
 
 def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from txrisk.llm import word_bpe
-from txrisk.llm.common import batches_of, written
+from txrisk.llm.common import batches_of, trimmed, written
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length int, ids_crc32 long, deal long"
 PACKED_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -54,7 +54,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, size: int = 4096, end_id:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(names))
 
     batches_of(docs.sparkSession)
-    return docs.select(F.col(id_column).cast("long"), F.col(text_column).cast("string")).mapInArrow(pieces, PIECE_SCHEMA)
+    return docs.select(F.col(id_column).cast("long"), F.col(text_column).cast("string")).mapInArrow(trimmed(pieces), PIECE_SCHEMA)
 
 
 def best_two_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

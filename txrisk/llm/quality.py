@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from txrisk.llm import char_model
-from txrisk.llm.common import SPACE, WordScan, batches_of, mix, slices_by_bytes, utf8, written
+from txrisk.llm.common import SPACE, WordScan, batches_of, mix, slices_by_bytes, trimmed, utf8, written
 
 #: Languages with a class model of their own; all others share the last one.
 LANGUAGES = ("de", "en", "es", "fr")
@@ -105,7 +105,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
     batches_of(docs.sparkSession)
     return (docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
-            .mapInArrow(task, "slot int, code int, n long").groupBy("slot", "code").agg(F.sum("n").alias("n")))
+            .mapInArrow(trimmed(task), "slot int, code int, n long").groupBy("slot", "code").agg(F.sum("n").alias("n")))
 
 
 def _hash(slot: int, order: int, codes: np.ndarray) -> np.ndarray:
