@@ -32,3 +32,9 @@ def test_extra_field_counts_parses_a_message_once(spark, messages):
     got = zone_queries.extra_field_counts(spark, "")
     assert sorted(tuple(r) for r in got.collect()) == [("loyalty_points", "ARRAY<BIGINT>", 1), ("note", "STRING", 1)]
     assert _parses(got) <= 3        # the array, the object, and the remainder made a variant again
+
+
+def test_fallback_ids_parses_a_message_once(spark, messages):
+    got = zone_queries.fallback_ids(spark, "")
+    assert [tuple(r)[1:] for r in got.collect()] == [(2, 2)]
+    assert _parses(got) <= 2
