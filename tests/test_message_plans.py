@@ -38,3 +38,9 @@ def test_fallback_ids_parses_a_message_once(spark, messages):
     got = zone_queries.fallback_ids(spark, "")
     assert [tuple(r)[1:] for r in got.collect()] == [(2, 2)]
     assert _parses(got) <= 2
+
+
+def test_labelled_messages_parses_a_message_once(spark, messages):
+    got = zone_queries.labelled_messages(spark, "")
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, False), (1, 0, True), (2, 1, False)]
+    assert _parses(got) <= 2
