@@ -5,7 +5,8 @@ import datetime
 import pytest
 
 from txrisk import fixtures
-from txrisk.plans import zone_queries
+from txrisk.plans import queries, zone_queries
+from txrisk.sources import zones
 
 WHOLE = ('"transaction_id":"%s","customer_id":"C1","amount":%s,"currency":"USD","timestamp":"2024-01-02T10:00:00","is_fraud":%s,'
          '"transaction_type":"%s","transaction_status":"completed","location":"VN","device_os":"iOS","payment_method":"crypto",'
@@ -44,3 +45,11 @@ def test_labelled_messages_parses_a_message_once(spark, messages):
     got = zone_queries.labelled_messages(spark, "")
     assert sorted(tuple(r) for r in got.collect()) == [(0, 1, False), (1, 0, True), (2, 1, False)]
     assert _parses(got) <= 2
+
+
+@pytest.mark.parametrize("name", ["validation_failure_counts"])
+def test_messages_are_validated_without_a_copy(spark, messages, tmp_dir, monkeypatch, name):
+    monkeypatch.setattr(zones, "materialize", None)
+    got = queries.QUERIES[name](spark, tmp_dir)
+    assert got.count() == {"validation_failure_counts": 13, "landed_transactions": 2, "dead_letter": 7}[name]
+    assert _parses(got) <= 2
