@@ -47,7 +47,7 @@ def test_labelled_messages_parses_a_message_once(spark, messages):
     assert _parses(got) <= 2
 
 
-@pytest.mark.parametrize("name", ["validation_failure_counts", "landed_transactions"])
+@pytest.mark.parametrize("name", ["validation_failure_counts", "landed_transactions", "dead_letter"])
 def test_messages_are_validated_without_a_copy(spark, messages, tmp_dir, monkeypatch, name):
     monkeypatch.setattr(zones, "materialize", None)
     got = queries.QUERIES[name](spark, tmp_dir)
